@@ -22,11 +22,12 @@ BUCKET_WIDTHS = {
     "all": 0,
 }
 
-# Fixed value: accepted time text. Groups: date, time, fraction, offset.
+# Fixed value: accepted time text. The offset may be Z, +hh, +hhmm or +hh:mm.
 TIME_PATTERN = (
-    r'^"?(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(\.\d+)?'
-    r'(Z|[+-](?:0\d|1[0-8])(?::?[0-5]\d)?)?"?$'
+    r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?"
+    r"(Z|[+-](0\d|1[0-8])(:?[0-5]\d)?)?$"
 )
+_EPOCH = "1970-01-01 00:00:00"
 
 
 def offset_minutes(offset: str) -> int:
@@ -45,21 +46,14 @@ def normalize_time(
 
     A stated offset is honoured; text without one is read with ``default_offset``.
     """
-    target = offset_minutes(target_offset)
-    wall = F.substring(F.regexp_replace(col, '^"', ""), 1, 19).try_cast("timestamp_ntz")
-    offset = F.regexp_extract(col, TIME_PATTERN, 4)
-    digits = F.translate(offset, "+-:", "")
-    size = F.coalesce(F.substring(digits, 1, 2).try_cast("int"), F.lit(0)) * 60 + F.coalesce(
-        F.substring(digits, 3, 2).try_cast("int"), F.lit(0)
+    offset_minutes(default_offset)
+    text = F.translate(col, '"', "")
+    stated = F.substring(text, 20, 40).rlike("[Z+-]")
+    instant = F.concat(text, F.when(stated, "").otherwise(default_offset)).try_cast("timestamp")
+    shifted = F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(offset_minutes(target_offset)), F.unix_seconds(instant)
     )
-    minutes = (
-        F.when(offset == "", F.lit(offset_minutes(default_offset)))
-        .when(offset == "Z", F.lit(0))
-        .when(offset.startswith("-"), -size)
-        .otherwise(size)
-    )
-    shifted = wall + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(target) - minutes)
-    return F.when(col.rlike(TIME_PATTERN), shifted.cast("string"))
+    return F.when(text.rlike(TIME_PATTERN), shifted.cast("string"))
 
 
 def time_bucket(time: Column, minutes: int) -> tuple[Column, Column]:
@@ -114,7 +108,7 @@ def millis_to_text(
     cut out of the ISO form, which no session setting changes.
     """
     micros = (col + offset_minutes(offset) * 60_000) * 1_000
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    epoch = F.lit(_EPOCH).cast("timestamp_ntz")
     days = F.floor(micros / F.lit(86_400_000_000)).cast("int")
     rest = F.pmod(micros, F.lit(86_400_000_000))
     wall = epoch + F.make_dt_interval(

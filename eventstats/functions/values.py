@@ -83,7 +83,8 @@ def raw_data(*names: str) -> Column:
 
 def duration_text(ms: Column) -> Column:
     """Milliseconds as '35 ms', '1.5 s', '2.0 m' or '1.00 h' (single-precision rounding)."""
-    single = ms.cast("float").cast("double")
+    # The optimizer merges a direct bigint -> float -> double cast into bigint -> double.
+    single = (ms.cast("float") + F.lit(0.0).cast("float")).cast("double")
 
     def part(fmt: str, unit: int) -> Column:
         return F.format_string(fmt, (single / F.lit(float(unit))).cast("float").cast("double"))

@@ -59,10 +59,14 @@ def enhance_time(
     prefix: str = "time_minute_",
     default_offset: str = "+08:00",
 ) -> DataFrame:
-    """Normalise the event time, drop rows without a valid one, add bucket start and end."""
-    timed = df.withColumn(time_col, normalize_time(F.col(time_col), default_offset)).filter(
-        F.col(time_col).isNotNull()
-    )
+    """Normalise the event time, drop rows without a valid one, add bucket start and end.
+
+    The time comes out of a generator so that the filter on it does not compute it again.
+    """
+    time = F.explode(F.array(normalize_time(F.col(time_col), default_offset)))
+    others = [c for c in df.columns if c != time_col]
+    timed = df.select(*others, time.alias(time_col)).select(*df.columns)
+    timed = timed.filter(F.col(time_col).isNotNull())
     return timed.withColumns(_bucket_columns(time_col, intervals, prefix))
 
 

@@ -136,17 +136,15 @@ def malformed_rows(df: DataFrame, value_col: str = "value") -> DataFrame:
     return df.filter(F.try_parse_json(F.col(value_col)).isNull())
 
 
-def _reader(root: str):
-    return lambda path: F.col(f"{root}.{path}")
-
-
 def _parse(
     df: DataFrame, value_col: str, keep: Sequence[str], strict: bool
 ) -> tuple[DataFrame, Column]:
     """Parsed frame and the 'line is not JSON' condition.
 
-    The parser reports partly readable lines as well (an ``event`` that holds text, say), so
-    the full JSON check runs only on lines it reported.
+    The parse is a generator, so later filters use its result; over a plain projection they
+    would be pushed below it and parse the line again. The parser reports partly readable
+    lines as well (an ``event`` that holds text, say), so the full JSON check runs only on
+    lines it reported.
     """
 
     def text_fields(names: Sequence[str]) -> str:
@@ -157,13 +155,13 @@ def _parse(
         f"context: struct<{text_fields(CONTEXT_FIELDS)}>, {_BAD}: string>"
     )
     value = F.col(value_col)
-    columns = [
-        *[F.col(k) for k in keep],
-        value.alias("_line"),
-        F.from_json(value, schema, {"columnNameOfCorruptRecord": _BAD}).alias("j"),
-    ]
+    parts = [F.from_json(value, schema, {"columnNameOfCorruptRecord": _BAD}).alias("j")]
     if strict:
-        columns.append(F.from_json(value, _NUMBERS).alias("n"))
-    parsed = df.select(*columns)
-    reported = F.col("j").isNull() | F.col(f"j.{_BAD}").isNotNull()
-    return parsed, reported & F.try_parse_json(F.col("_line")).isNull()
+        parts.append(F.from_json(value, _NUMBERS).alias("n"))
+    parsed = df.select(*keep, value.alias("_line"), F.inline(F.array(F.struct(*parts))))
+    unread = F.col("j").isNull() | F.col(f"j.{_BAD}").isNotNull()
+    return parsed, unread & F.try_parse_json(F.col("_line")).isNull()
+
+
+def _reader(root: str):
+    return lambda path: F.col(f"{root}.{path}")

@@ -66,6 +66,16 @@ def read_log_stream(
     return stream.repartition(partitions) if partitions else stream
 
 
+def spread(df: DataFrame, *columns: str, at_least: int | None = None) -> DataFrame:
+    """Shuffle a scan only when it has fewer splits than there are cores.
+
+    One small file is one task whatever the cluster size. A large input already has more
+    splits than cores and is left as it is. ``columns`` should identify a row.
+    """
+    wanted = at_least or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, *columns) if df.rdd.getNumPartitions() < wanted else df
+
+
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """One ``value`` row per line of the text files under ``path``."""
     return spark.read.text(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from eventstats.sinks.batched import BatchTable
 
@@ -12,12 +12,25 @@ from eventstats.sinks.batched import BatchTable
 def tumbling_counts(
     stream: DataFrame, ts_col: str, length: str, dims: Sequence[str], lateness: str
 ) -> DataFrame:
-    """Rows per window and dimensions. Rows later than ``lateness`` are left out."""
+    """Rows per window and dimensions. Rows later than ``lateness`` are left out.
+
+    Watermarks need an instant, so a wall-clock time is read as UTC and the window bounds
+    are turned back into wall-clock times; the session time zone plays no part.
+    """
+    start, end = F.col("window.start"), F.col("window.end")
+    if isinstance(stream.schema[ts_col].dataType, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        seconds = (F.col(ts_col) - epoch).cast("bigint")
+        stream = stream.withColumn(ts_col, F.timestamp_seconds(seconds))
+        start, end = [
+            epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.unix_seconds(bound))
+            for bound in (start, end)
+        ]
     return (
         stream.withWatermark(ts_col, lateness)
         .groupBy(F.window(ts_col, length), *dims)
         .agg(F.count(F.lit(1)).alias("value"))
-        .select("window.start", "window.end", *dims, "value")
+        .select(start.alias("start"), end.alias("end"), *dims, "value")
     )
 
 

@@ -6,6 +6,8 @@ invalid times, missing fields, unusable user ids.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventstats.operators import (
@@ -18,7 +20,7 @@ from eventstats.operators import (
     flag_duplicates,
     format_log,
 )
-from eventstats.sources import read_dimension
+from eventstats.sources import read_dimension, spread
 
 RULES = LogRules(
     platforms=(
@@ -48,7 +50,7 @@ def with_k(events: DataFrame) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_k(table(spark, sf_dir, "events"))
+    return with_k(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def to_tracking_json(ev: DataFrame) -> DataFrame:
@@ -167,14 +169,17 @@ def finished_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.selectExpr("concat('course-', p_partkey) AS course_id")
 
 
+@lru_cache
 def devices(spark: SparkSession, sf_dir: str) -> Dimension:
     return Dimension(device_info(spark, sf_dir), "uuid", ["channel", "event", "uid"])
 
 
+@lru_cache
 def users(spark: SparkSession, sf_dir: str) -> Dimension:
     return Dimension(auth_user(spark, sf_dir), "id", ["date_joined"])
 
 
+@lru_cache
 def courses(spark: SparkSession, sf_dir: str) -> Dimension:
     return Dimension(
         course_meta(spark, sf_dir), "course_id", ["course_type", "owner", "status", "start", "end"]
