@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from eventstats.functions import BUCKET_WIDTHS, bucket_label
 from eventstats.operators.lookups import salted_join
 
-_FIRST = "_first"
+_FIRST, _BUCKET = "_first", "_bucket"
 
 
 def flag_name(keys: Sequence[str], interval: str) -> str:
@@ -44,11 +44,17 @@ def flag_duplicates(
     firsts = first_rows(df, keys, intervals, time_col, order)
     marks = firsts.select(
         *[F.col(c).alias(f"_m_{c}") for c in identity],
+        F.col(_BUCKET).alias(f"_m{_BUCKET}"),
         F.struct(*[F.col(f"_repeat_{i}").alias(i) for i in intervals]).alias(_FIRST),
     )
-    on = reduce(
-        lambda a, b: a & b, [df[c].eqNullSafe(marks[f"_m_{c}"]) for c in identity]
-    )
+    # Row identity alone would do. Key and bucket, by which the marks are unique, let the
+    # optimizer drop the join where no flag is used.
+    same_bucket = _bucket(df[time_col], intervals[0]) == marks[f"_m{_BUCKET}"]
+    same_row = [
+        df[c] == marks[f"_m_{c}"] if c == keys[0] else df[c].eqNullSafe(marks[f"_m_{c}"])
+        for c in identity
+    ]
+    on = reduce(lambda a, b: a & b, same_row, same_bucket)
     joined = df.join(marks, on, "left").select(*[df[c] for c in df.columns], _FIRST)
     blank = has_no_key(keys)
     return joined.withColumns(
@@ -100,9 +106,9 @@ def first_rows(
     names = list(dict.fromkeys([*keys, *order]))
     rows = df.filter(~has_no_key(keys)).select(*names)
     firsts = (
-        rows.groupBy(*keys, bucket_label(F.col(time_col), finest).alias("_bucket"))
+        rows.groupBy(*keys, _bucket(F.col(time_col), finest).alias(_BUCKET))
         .agg(F.min(F.struct(*order)).alias("_o"))
-        .select(*keys, *[F.col("_o")[c].alias(c) for c in order if c not in keys])
+        .select(*keys, _BUCKET, *[F.col("_o")[c].alias(c) for c in order if c not in keys])
         .withColumn(f"_repeat_{finest}", F.lit(0))
     )
     if len(intervals) > 1:
@@ -124,6 +130,10 @@ def has_no_key(keys: Sequence[str]) -> Column:
     return F.coalesce(F.col(keys[0]).cast("string"), F.lit("")) == ""
 
 
+def _bucket(time: Column, interval: str) -> Column:
+    return F.coalesce(bucket_label(time, interval), F.lit(""))
+
+
 def _same_bucket_as_before(time_col: str, interval: str, window) -> Column:
     label = bucket_label(F.col(time_col), interval)
     return F.coalesce((F.lag(label).over(window) == label).cast("int"), F.lit(0))
@@ -136,24 +146,25 @@ def _flag_without_ids(
     names: Mapping[str, str],
     time_col: str,
 ) -> DataFrame:
-    """Two rounds: first rows per (key, input task), then first rows among those."""
+    """Two rounds: first rows per (key, input task), then first rows among those.
+
+    A hot key is split by the task its rows came from, which holds for exact copies too.
+    Both branches read one shuffle of the input.
+    """
     blank = has_no_key(keys)
     part = "_part"
-    named = df.filter(~blank).withColumn(part, F.spark_partition_id())
     local = Window.partitionBy(*keys, part).orderBy(time_col)
-    named = named.withColumn("_later", _same_bucket_as_before(time_col, intervals[0], local))
+    rows = df.withColumn(part, F.spark_partition_id())
+    rows = rows.withColumn("_later", _same_bucket_as_before(time_col, intervals[0], local))
+    candidate = (F.col("_later") == 0) & ~blank
     final = Window.partitionBy(*keys).orderBy(time_col)
-    first = named.filter(F.col("_later") == 0).withColumns(
+    first = rows.filter(candidate).withColumns(
         {names[i]: _same_bucket_as_before(time_col, i, final) for i in intervals}
     )
-    later = named.filter(F.col("_later") == 1).withColumns(
-        {names[i]: F.lit(1) for i in intervals}
-    )
-    unnamed = df.filter(blank).withColumns({names[i]: F.lit(0) for i in intervals})
-    flags = [*df.columns, *names.values()]
-    return first.select(*flags).unionByName(later.select(*flags)).unionByName(
-        unnamed.select(*flags)
+    rest = rows.filter(~candidate).withColumns(
+        {names[i]: F.when(blank, 0).otherwise(1) for i in intervals}
     )
+    return first.unionByName(rest).drop(part, "_later")
 
 
 def drop_seen_in_previous_batch(

@@ -33,7 +33,7 @@ class BatchTable:
     def read(self, before: int | None = None) -> DataFrame | None:
         """All rows, or those of batches before ``before``; None when there are none yet."""
         folded, upto = self._newest_folded(before)
-        batches = self._load(f"{self.path}/batches")
+        batches = self._load_batches(upto, before)
         if batches is not None:
             if upto is not None:
                 batches = batches.filter(F.col("batch_id") > upto)
@@ -62,9 +62,17 @@ class BatchTable:
             return None, None
         return parts.filter(F.col("upto") == newest).drop("upto"), newest
 
-    def _load(self, path: str) -> DataFrame | None:
+    def _load_batches(self, upto: int | None, before: int | None) -> DataFrame | None:
+        """The unfolded batches; with both ends known no other directory is looked into."""
+        root = f"{self.path}/batches"
+        if upto is None or before is None:
+            return self._load(root)
+        ids = ",".join(str(i) for i in range(upto + 1, before))
+        return self._load(f"{root}/batch_id={{{ids}}}", basePath=root) if ids else None
+
+    def _load(self, path: str, **options: str) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(path)
+            return self.spark.read.options(**options).parquet(path)
         except AnalysisException as error:
             if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
