@@ -47,11 +47,15 @@ def normalize_time(
     A stated offset is honoured; text without one is read with ``default_offset``.
     """
     offset_minutes(default_offset)
-    text = F.translate(col, '"', "")
-    stated = F.substring(text, 20, 40).rlike("[Z+-]")
-    instant = F.concat(text, F.when(stated, "").otherwise(default_offset)).try_cast("timestamp")
+    text = F.when(col.startswith('"'), F.translate(col, '"', "")).otherwise(col)
+    tail = F.substring(text, 20, 40)
+    stated = tail.contains("+") | tail.contains("-") | tail.endswith("Z")
+    instant = F.when(stated, text).otherwise(F.concat(text, F.lit(default_offset)))
     shifted = F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(offset_minutes(target_offset)), F.unix_seconds(instant)
+        F.lit(0),
+        F.lit(0),
+        F.lit(offset_minutes(target_offset)),
+        F.unix_seconds(instant.try_cast("timestamp")),
     )
     return F.when(text.rlike(TIME_PATTERN), shifted.cast("string"))
 

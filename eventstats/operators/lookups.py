@@ -68,6 +68,15 @@ class Dimension:
     def is_small(self) -> bool:
         return self.size_bytes <= self.broadcast_bytes
 
+    def persist(self) -> Dimension:
+        """Keep the table's columns on the executors, for a source that is slow to read. A
+        stream that must see changes makes a new Dimension per batch and drops the old one."""
+        self.source.persist()
+        return self
+
+    def unpersist(self) -> None:
+        self.source.unpersist()
+
 
 def lookup_rules(
     df: DataFrame,

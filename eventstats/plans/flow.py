@@ -71,15 +71,22 @@ class Flow:
     def on_batch(
         self, sinks: Mapping[int, Callable[[DataFrame, int], None]]
     ) -> Callable[[DataFrame, int], None]:
-        """A ``foreachBatch`` function: prepare once, give every set's result to its sink."""
+        """A ``foreachBatch`` function: prepare once, give every set's result to its sink.
+
+        The prepared frame is kept only when several sets read it.
+        """
+        shared = len(enabled(self.spec["sets"])) > 1
 
         def run(batch: DataFrame, batch_id: int) -> None:
-            prepared = self.prepare(batch).persist()
+            prepared = self.prepare(batch)
+            if shared:
+                prepared.persist()
             try:
                 for set_id, result in self.results(prepared).items():
                     sinks[set_id](result, batch_id)
             finally:
-                prepared.unpersist()
+                if shared:
+                    prepared.unpersist()
 
         return run
 

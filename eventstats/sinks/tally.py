@@ -37,6 +37,11 @@ class TallyTable:
         """Store the batch's increments, already summed per document."""
         self.table.write_batch(self._summed(typed_values(df, self.values)), batch_id)
 
+    def add_statistics(self, df: DataFrame, batch_id: int) -> None:
+        """The same for rows that are one per document already, such as ``statistics()``
+        gives: saves the shuffle."""
+        self.table.write_batch(typed_values(df, self.values), batch_id)
+
     def current(self) -> DataFrame:
         """Documents with ``doc_id`` and their values so far."""
         rows = self.table.read()

@@ -25,7 +25,7 @@ def _add_thirds(spark, sf_dir, tally: TallyTable, replay: bool = False) -> None:
     for batch_id, part in enumerate(parts):
         counts = statistics(rows.filter(f"time {part}"), spec(["L1", "L2"]))
         for _ in range(2 if replay else 1):
-            tally.add_batch(counts, batch_id)
+            tally.add_statistics(counts, batch_id)
 
 
 @query("sink_upsert_add", sql(_COUNTS, "tracking"))

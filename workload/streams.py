@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from eventstats.operators import StatSpec, statistics
 from eventstats.plans import Flow, metrics
 from eventstats.sinks import BatchTable, TallyTable
-from eventstats.sources import read_log_stream
+from eventstats.sources import read_log_stream, spread
 from eventstats.streaming import (
     PreviousBatch,
     SeenKeys,
@@ -47,7 +47,7 @@ def run_arrivals(
     arrivals: Sequence[str] = ARRIVALS,
 ) -> None:
     """Let the events arrive part by part; every part is one run on the same checkpoint."""
-    events = inputs.table(spark, sf_dir, "events")
+    events = spread(inputs.table(spark, sf_dir, "events"), "event_id")
     landing, checkpoint = shared_dir(spark, "landing"), shared_dir(spark, "checkpoint")
     for part in arrivals:
         events.filter(part).write.mode("append").parquet(landing)
@@ -120,7 +120,7 @@ def stream_flow(spark, sf_dir):
         }
     )
     tally = TallyTable(spark, shared_dir(spark, "tally"))
-    step = flow.on_batch({1: tally.add_batch})
+    step = flow.on_batch({1: tally.add_statistics})
     run_arrivals(spark, sf_dir, lambda batch, batch_id: step(lines_of(batch), batch_id))
     return tally.current().drop("doc_id")
 
@@ -178,7 +178,7 @@ def multi_statistics(spark, sf_dir):
     tallies = {i: TallyTable(spark, shared_dir(spark, f"tally{i}")) for i in (1, 2)}
     run_stream(
         lines_of(in_place(spark, sf_dir)),
-        flow.on_batch({i: t.add_batch for i, t in tallies.items()}),
+        flow.on_batch({i: t.add_statistics for i, t in tallies.items()}),
         shared_dir(spark, "checkpoint"),
     )
     one, two = [t.current().withColumn("set_id", F.lit(i)) for i, t in tallies.items()]
@@ -295,7 +295,7 @@ def stream_late_additive(spark, sf_dir):
     counts = spec(["L2:T1:T2"], excludes=["T1", "T2"])
 
     def on_batch(batch, batch_id):
-        tally.add_batch(statistics(metrics.with_period(tracking_of(batch)), counts), batch_id)
+        tally.add_statistics(statistics(metrics.with_period(tracking_of(batch)), counts), batch_id)
 
     run_arrivals(spark, sf_dir, on_batch, arrivals=ARRIVALS[::-1])
     return tally.current().drop("doc_id")
@@ -307,7 +307,7 @@ def stream_restart(spark, sf_dir):
     tally = TallyTable(spark, shared_dir(spark, "tally"))
 
     def on_batch(batch, batch_id):
-        tally.add_batch(statistics(tracking_of(batch), _COUNTS), batch_id)
+        tally.add_statistics(statistics(tracking_of(batch), _COUNTS), batch_id)
 
     run_arrivals(spark, sf_dir, on_batch, arrivals=(*ARRIVALS, "ts IS NULL"))
     return tally.current().drop("doc_id")
