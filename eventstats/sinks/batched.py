@@ -9,7 +9,7 @@ first and removes nothing, so a reader never sees half of it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,10 +21,7 @@ class BatchTable:
         self.path = path.rstrip("/")
 
     def write_batch(self, df: DataFrame, batch_id: int, *partition_by: str) -> None:
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.path}/batches/batch_id={batch_id}")
+        self._write(df, f"batches/batch_id={batch_id}", partition_by)
 
     def read_batch(self, batch_id: int) -> DataFrame | None:
         """Rows of one batch, None when it was never written."""
@@ -45,11 +42,20 @@ class BatchTable:
             return None
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
-    def fold(self, upto: int, fn: Callable[[DataFrame], DataFrame]) -> None:
+    def fold(
+        self, upto: int, fn: Callable[[DataFrame], DataFrame], *partition_by: str
+    ) -> None:
         """Replace batches 0..upto by ``fn`` of their rows. Only fold batches that are done."""
         rows = self.read(before=upto + 1)
         if rows is not None:
-            fn(rows).write.mode("overwrite").parquet(f"{self.path}/folded/upto={upto}")
+            self._write(fn(rows), f"folded/upto={upto}", partition_by)
+
+    def _write(self, df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
+        """Rebalancing gives each directory few files, and a large one several tasks."""
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
+        writer = df.write.mode("overwrite").partitionBy(*partition_by)
+        writer.parquet(f"{self.path}/{name}")
 
     def _newest_folded(self, before: int | None) -> tuple[DataFrame | None, int | None]:
         parts = self._load(f"{self.path}/folded")

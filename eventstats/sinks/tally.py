@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventstats.functions import doc_id, raw_data, typed_cast
 from eventstats.functions.values import CAST_TYPES
 from eventstats.sinks.batched import BatchTable
 
 ID = "doc_id"
+_ROUTE = "_to_"
 
 
 def typed_values(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -73,8 +74,13 @@ def write_routed(
     batch_id: int,
     destination: Sequence[str] = ("index", "type"),
 ) -> None:
-    """Write a batch whose rows name their own destination, one directory per destination."""
-    table.write_batch(df, batch_id, *destination)
+    """Write a batch whose rows name their own destination, one directory per destination.
+
+    The directories are named by marked copies of the columns, because Spark would read a
+    directory called ``type=01`` as the number 1.
+    """
+    copies = {_ROUTE + name: _route(F.col(name).cast("string")) for name in destination}
+    table.write_batch(df.withColumns(copies), batch_id, *copies)
 
 
 def read_routed(table: BatchTable, **destination: str) -> DataFrame | None:
@@ -83,5 +89,9 @@ def read_routed(table: BatchTable, **destination: str) -> DataFrame | None:
     if rows is None:
         return None
     for name, value in destination.items():
-        rows = rows.filter(F.col(name) == value)
-    return rows
+        rows = rows.filter(F.col(_ROUTE + name) == _route(F.lit(value)))
+    return rows.drop(*[c for c in rows.columns if c.startswith(_ROUTE)])
+
+
+def _route(value: Column) -> Column:
+    return F.concat(F.lit("_"), value)

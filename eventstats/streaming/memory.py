@@ -17,6 +17,8 @@ from eventstats.operators.dedup import (
 )
 from eventstats.sinks.batched import BatchTable
 
+_PLACE = ("interval", "period")
+
 
 class SeenKeys:
     """Repeat flags across batches: the first row to arrive of (keys, bucket) gets 0.
@@ -24,6 +26,9 @@ class SeenKeys:
     Each batch stores only the keys it met first. Keys of the batch are found by partial
     aggregation, compared with the stored ones key by key, and the flags return to the rows
     by a join on row identity, so no key's rows are gathered in one task.
+
+    Stored keys lie in one directory per interval and period (the day of a bucket, or the
+    whole bucket when it is longer), and a batch reads only the periods it has events of.
     """
 
     def __init__(
@@ -44,7 +49,7 @@ class SeenKeys:
 
     def flag_batch(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """The batch with its flag columns. Replaying a batch gives the same flags."""
-        self.table.write_batch(self._new_keys(batch, batch_id), batch_id)
+        self.table.write_batch(self._new_keys(batch, batch_id), batch_id, *_PLACE)
         stored = self.table.read_batch(batch_id)
         marks = stored.groupBy(*self.identity).agg(
             *[F.max(F.col("interval") == i).alias(f"_first_{i}") for i in self.intervals]
@@ -76,11 +81,9 @@ class SeenKeys:
         def fold(rows: DataFrame) -> DataFrame:
             for interval, bucket in (oldest or {}).items():
                 rows = rows.filter((F.col("interval") != interval) | (F.col("bucket") >= bucket))
-            return rows.repartitionByRange("interval", "bucket", *self.keys).sortWithinPartitions(
-                "interval", "bucket"
-            )
+            return rows
 
-        self.table.fold(upto, fold)
+        self.table.fold(upto, fold, *_PLACE)
 
     def _new_keys(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """(interval, bucket, keys) met for the first time, with the identity of their row."""
@@ -99,21 +102,22 @@ class SeenKeys:
             firsts.select(*self.identity, F.inline(entries))
             .filter(F.col("_repeat") == 0)
             .drop("_repeat")
+            .withColumn("period", F.concat(F.lit("p"), F.substring("bucket", 1, 10)))
         )
         seen = self.table.read(before=batch_id)
         if seen is None:
             return met
-        seen = seen.select("interval", "bucket", *self.keys)
-        oldest = met.groupBy("interval").agg(F.min("bucket").alias("_oldest"))
-        # One small row per interval: lets the scan skip files whose buckets are all older.
-        bounds = {r["interval"]: r["_oldest"] for r in oldest.collect()}
+        # A few rows: the days of this batch. They become a partition filter.
+        places = met.select(*_PLACE).distinct().collect()
         wanted = [
-            (F.col("interval") == i) & (F.col("bucket") >= bucket) for i, bucket in bounds.items()
+            (F.col("interval") == i)
+            & F.col("period").isin([p["period"] for p in places if p["interval"] == i])
+            for i in sorted({p["interval"] for p in places})
         ]
         if not wanted:
             return met
-        seen = seen.filter(reduce(lambda a, b: a | b, wanted))
-        names = ["interval", "bucket", *self.keys]
+        names = [*_PLACE, "bucket", *self.keys]
+        seen = seen.filter(reduce(lambda a, b: a | b, wanted)).select(*names)
         seen = seen.withColumnsRenamed({c: f"_s_{c}" for c in names})
         on = reduce(lambda a, b: a & b, [met[c].eqNullSafe(seen[f"_s_{c}"]) for c in names])
         return met.join(seen, on, "left_anti")

@@ -88,11 +88,13 @@ def test_batch_table_reads_only_the_batches_asked_for(spark, path):
 
 def test_routed_rows(spark, path):
     table = BatchTable(spark, path())
-    df = spark.createDataFrame([("i", "x", 1), ("i", "y", 2), ("j", "x", 3)], "index string, type string, n int")
+    rows = [("i", "01", 1), ("i", "1", 2), ("j", "01", 3)]
+    df = spark.createDataFrame(rows, "index string, type string, n int")
     write_routed(table, df, 0)
-    one = read_routed(table, index="i", type="y")
-    assert [r["n"] for r in one.collect()] == [2]
-    assert "PartitionFilters: [isnotnull(index" in plan_of(one)
+    one = read_routed(table, index="i", type="01")
+    assert [tuple(r) for r in one.collect()] == [("i", "01", 1)]
+    assert one.columns == df.columns
+    assert "PartitionFilters: [isnotnull(_to_index" in plan_of(one)
 
 
 def test_print_rows_passes_the_frame_through(spark, capsys):
@@ -146,6 +148,18 @@ def test_one_batch_equals_the_batch_operator(spark, path):
     assert got == brute_force(rows, ["user_id"], "daily")
 
 
+def test_seen_keys_read_only_the_days_of_the_batch(spark, path):
+    seen = SeenKeys(spark, path(), intervals=["daily", "minutely"])
+    for day in (1, 2, 3):
+        df = spark.createDataFrame([(day, "u", "a", f"2024-01-0{day} 00:00:00")], SCHEMA)
+        seen.flag_batch(df, day)
+    late = spark.createDataFrame([(9, "u", "a", "2024-01-01 00:00:30")], SCHEMA)
+    new = seen._new_keys(late, 4)
+    filters = plan_of(new).split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "= p2024-01-0" in filters  # one period; the plan text ends there
+    assert new.count() == 0
+
+
 def test_seen_keys_forget_closed_buckets(spark, path):
     seen = SeenKeys(spark, path())
     old = spark.createDataFrame([(1, "u", "a", "2024-01-01 00:00:00")], SCHEMA)
