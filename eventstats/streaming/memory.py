@@ -50,7 +50,13 @@ class SeenKeys:
     def flag_batch(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """The batch with its flag columns. Replaying a batch gives the same flags."""
         self.table.write_batch(self._new_keys(batch, batch_id), batch_id, *_PLACE)
+        blank = has_no_key(self.keys)
+        names = {i: flag_name(self.keys, i) for i in self.intervals}
         stored = self.table.read_batch(batch_id)
+        if stored is None:  # every key of the batch was met before
+            return batch.withColumns(
+                {name: F.when(blank, 0).otherwise(1) for name in names.values()}
+            )
         marks = stored.groupBy(*self.identity).agg(
             *[F.max(F.col("interval") == i).alias(f"_first_{i}") for i in self.intervals]
         )
@@ -58,10 +64,8 @@ class SeenKeys:
         on = reduce(
             lambda a, b: a & b, [batch[c].eqNullSafe(marks[f"_m_{c}"]) for c in self.identity]
         )
-        blank = has_no_key(self.keys)
         flags = {
-            flag_name(self.keys, i): F.when(blank | F.col(f"_first_{i}"), 0).otherwise(1)
-            for i in self.intervals
+            name: F.when(blank | F.col(f"_first_{i}"), 0).otherwise(1) for i, name in names.items()
         }
         return batch.join(marks, on, "left").select(
             *[batch[c] for c in batch.columns], *[c.alias(n) for n, c in flags.items()]
