@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 import check
+from workload.registry import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -21,7 +22,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     df = spark_entry.queries()[name](spark, SF_DIR)
     got = df.toPandas()
