@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventstats.llm import language, mixing
+from eventstats.llm import language, mixing, toxicity
 from eventstats.llm.common import fold_of, table
 from eventstats.llm.registry import query
 
@@ -23,3 +23,22 @@ def op9_language(spark, sf_dir):
     held_out = fold_of(F.col("doc_id"), 5) == 0
     model = language.fit(docs.filter(~held_out))
     return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def fit_toxicity(docs, labels):
+    """A network learned from the labelled documents outside the held-out third."""
+    learn = fold_of(F.col("doc_id"), 3) != 1
+    return toxicity.train(*toxicity.training_texts(docs.filter(learn), labels.filter(learn)))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    """The toxicity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
