@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from eventstats.llm import queries_chat_search, queries_data, queries_models, queries_tokens  # noqa: F401
+from eventstats.llm import (  # noqa: F401
+    queries_chat_search,
+    queries_data,
+    queries_models,
+    queries_near,
+    queries_tokens,
+)
 from eventstats.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -363,16 +363,22 @@ def training_texts(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC,
     return [t for _, t in rows], [ids[i] for i, _ in rows]
 
 
-def score_documents(docs: DataFrame, net: Network | None, columns: list[str] | None = None) -> DataFrame:
-    """The ``columns`` (``doc_id``) of ``docs`` and ``score`` for every row, from whole texts.
-
-    Null and empty texts score like a window without words. Without a network, as when no
-    labels are given, every score is 0. Repeated rows score the same; an empty table gives none.
+def score_documents(
+    docs: DataFrame, net: Network | None, columns: list[str] | None = None, name: str = "score"
+) -> DataFrame:
+    """The ``columns`` (``doc_id``) of ``docs`` and the score, as ``name``, for every row.
+
+    Whole texts are scored. Null and empty texts score like a window without words. Without a
+    network, as when no labels are given, every score is 0. Repeated rows score the same; an
+    empty table gives no rows; columns that are not named are not read.
     """
     names = columns or ["doc_id"]
+    kept = docs.select(*[F.col(f"`{c}`") for c in names])
     if net is None:
-        return docs.select(*names, F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # fixed size: the tables of the network
+        return kept.withColumn(name, F.lit(0.0))
+    shared = docs.sparkSession.sparkContext.broadcast(net)  # bounded by the sample
+    given = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, "text"])])
+    place, width = given.columns.index("text"), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
@@ -380,8 +386,8 @@ def score_documents(docs: DataFrame, net: Network | None, columns: list[str] | N
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.slice(at, 500)
-                scores = score_texts(part.columns[-1].to_pylist(), net, gates)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(scores, pa.float64())], [*names, "score"])
+                scores = score_texts(part.columns[place].to_pylist(), net, gates)
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], pa.array(scores, pa.float64())], [*names, name])
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-    return docs.select(*names, F.col("text").alias("_text")).mapInArrow(run, f"{kinds}, score double")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return given.mapInArrow(run, f"{kinds}, `{name}` double")
