@@ -28,7 +28,7 @@ OVERLAP = 1 << 10
 #: A boundary this near to the end of a cut text may be moved by what follows.
 LOOKAHEAD = 3
 #: Entries of a task's cache of encoded pre-tokens, and the longest pre-token it keeps.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 100_000
 CACHE_CHARS = 64
 
 
@@ -95,20 +95,29 @@ def _encoder(vocabulary: str, pattern: str) -> Callable[[str], bytes]:
     return lambda text: b"".join(map(cache.__getitem__, find(text)))
 
 
-def _encode_rows(vocabulary: str, pattern: str, rows: int = 256):
-    """A function for mapInArrow: replaces the last column, a text, by ``n_tokens, ids``."""
+def decode_ids(ids: bytes, table: dict[int, bytes]) -> bytes:
+    return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def _encode_rows(vocabulary: str, pattern: str, decoded: bool, rows: int = 256):
+    """A function for mapInArrow: replaces the last column, a text, by ``n_tokens, ids``.
+
+    With ``decoded`` the ids are decoded again in the same task, as a further column.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(vocabulary, pattern)
+        table = {i: b for b, i in load_ranks(vocabulary).items()} if decoded else {}
         for batch in batches:
             for at in range(0, len(batch), rows):
                 part = batch.slice(at, rows)
                 ids = [encode(t or "") for t in part.columns[-1].to_pylist()]
-                counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], counts, pa.array(ids, pa.binary())],
-                    [*part.schema.names[:-1], "n_tokens", "ids"],
-                )
+                columns = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                names = ["n_tokens", "ids"]
+                if decoded:
+                    columns.append(pa.array([decode_ids(x, table) for x in ids], pa.binary()))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], [*part.schema.names[:-1], *names])
 
     return run
 
@@ -169,9 +178,12 @@ def encode_documents(
     text: str = "text",
     chunk: int = CHUNK,
     overlap: int = OVERLAP,
+    decoded: bool = False,
 ) -> DataFrame:
     """``doc_id, n_tokens, ids`` for every row; ``ids`` are little-endian unsigned 32-bit.
 
+    With ``decoded`` the bytes that the ids decode to follow, without a second pass of Python.
+
     Special tokens are ordinary text. Null and empty texts have no tokens. Every row gives a
     row, also repeated ones and those with a null id; other columns are not read. Texts of any
     length are encoded whole. An empty table gives no rows.
@@ -179,21 +191,21 @@ def encode_documents(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     is_long = F.coalesce(F.length("text") > chunk, F.lit(False))
     kind = docs.schema[doc_id].dataType.simpleString()
-    out = f"doc_id {kind}, n_tokens long, ids binary"
-    short = rows.filter(~is_long).mapInArrow(_encode_rows(vocabulary, pattern), out)
+    values = "n_tokens long, ids binary" + ", decoded binary" * decoded
+    run = _encode_rows(vocabulary, pattern, decoded)
+    short = rows.filter(~is_long).mapInArrow(run, f"doc_id {kind}, {values}")
     long = stored(rows.filter(is_long).withColumn("key", F.monotonically_increasing_id()), "long-texts")
     pieces = _pieces(long.select("key", "text"), pattern, chunk, overlap).repartition("key", "piece")
-    ids = pieces.mapInArrow(_encode_rows(vocabulary, pattern), "key long, piece int, n_tokens long, ids binary")
+    ids = pieces.mapInArrow(run, f"key long, piece int, {values}")
 
     def join(part: pa.Table) -> pa.Table:
         part = part.sort_by("piece")
-        return pa.table({
-            "key": part["key"][:1],
-            "n_tokens": pa.array([sum(part["n_tokens"].to_pylist())], pa.int64()),
-            "ids": pa.array([b"".join(part["ids"].to_pylist())], pa.binary()),
-        })
+        binary = ["ids", *["decoded"] * decoded]
+        whole = {c: pa.array([b"".join(part[c].to_pylist())], pa.binary()) for c in binary}
+        total = pa.array([sum(part["n_tokens"].to_pylist())], pa.int64())
+        return pa.table({"key": part["key"][:1], "n_tokens": total, **whole})
 
-    joined = ids.groupBy("key").applyInArrow(join, "key long, n_tokens long, ids binary")
+    joined = ids.groupBy("key").applyInArrow(join, f"key long, {values}")
     return short.unionByName(long.select("key", "doc_id").join(joined, "key").drop("key"))
 
 
@@ -207,7 +219,7 @@ def decode_documents(encoded: DataFrame, vocabulary: str, rows: int = 256) -> Da
             for at in range(0, len(batch), rows):
                 part = batch.slice(at, rows)
                 ids = part.column(names.index("ids")).to_pylist()
-                texts = [x if x is None else b"".join(map(table.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in ids]
+                texts = [x if x is None else decode_ids(x, table) for x in ids]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*names).schema)

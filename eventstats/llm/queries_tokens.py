@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from eventstats.llm.byte_bpe import decode_documents, encode_documents
+from eventstats.llm.byte_bpe import encode_documents
 from eventstats.llm.common import table
 from eventstats.llm.registry import query
 from eventstats.llm.token_count import count_tokens
@@ -14,8 +14,8 @@ from eventstats.llm.token_count import count_tokens
 def digests(docs):
     """Encode and decode whole texts; digests of the ids and of the decoded bytes."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = encode_documents(docs, vocabulary, public_tokenizers.PATTERN)
-    return decode_documents(encoded, vocabulary).select(
+    encoded = encode_documents(docs, vocabulary, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
