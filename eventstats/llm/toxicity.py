@@ -341,6 +341,7 @@ def score_texts(texts: list[str | None], net: Network, gates: _Gates, block: int
         x = table[flat[np.where(mask, places + begin[i : i + block, None], len(flat) - 1)]]
         logits[i : i + block] = net.run({"f": x[:, :, : 3 * STATE], "b": x[:, :, 3 * STATE :]}, mask)
     best = np.maximum.reduceat(logits, np.cumsum(counts) - counts)
+    best[sizes == 0] = -30  # no words, nothing toxic
     return _sigmoid(net.scale * best.astype(np.float64) + net.shift)
 
 
@@ -368,7 +369,7 @@ def score_documents(
 ) -> DataFrame:
     """The ``columns`` (``doc_id``) of ``docs`` and the score, as ``name``, for every row.
 
-    Whole texts are scored. Null and empty texts score like a window without words. Without a
+    Whole texts are scored. Null texts and texts without words score next to 0. Without a
     network, as when no labels are given, every score is 0. Repeated rows score the same; an
     empty table gives no rows; columns that are not named are not read.
     """

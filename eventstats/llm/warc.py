@@ -82,15 +82,13 @@ def train_dictionary(
 ) -> bytes:
     """A dictionary from a sample spread by a hash of the id; empty if there is too little text.
 
-    The sample bounds what reaches the driver: ``records`` times ``SAMPLE_BYTES`` at most.
+    Ids are chosen first, so that the driver gets ``records`` times ``SAMPLE_BYTES`` at most.
     """
-    texts = (
-        pages.filter("html is not null and html <> ''")
-        .select(F.xxhash64("page_id").alias("_o"), "page_id", F.substring("html", 1, SAMPLE_BYTES).alias("t"))
-        .orderBy("_o", "page_id", "t")
-        .limit(records)
-        .select("t")
-    )
+    usable = pages.filter("page_id is not null and html <> ''")
+    ids = usable.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(records).collect()
+    chosen = usable.filter(F.col("page_id").isin([r[0] for r in ids]))
+    cut = F.substring("html", 1, SAMPLE_BYTES).alias("t")
+    texts = chosen.groupBy("page_id").agg(F.min(cut).alias("t")).orderBy("page_id").select("t")
     samples = [row[0].encode()[:SAMPLE_BYTES] for row in texts.collect()]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
