@@ -25,7 +25,7 @@ BUCKET_WIDTHS = {
 # Fixed value: accepted time text. The offset may be Z, +hh, +hhmm or +hh:mm.
 TIME_PATTERN = (
     r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?"
-    r"(Z|[+-](0\d|1[0-8])(:?[0-5]\d)?)?$"
+    r"(Z|[+-](0\d|1[0-8])(:?[0-5]\d)?)?\z"
 )
 _EPOCH = "1970-01-01 00:00:00"
 
@@ -48,7 +48,7 @@ def normalize_time(
     """
     offset_minutes(default_offset)
     text = F.when(col.startswith('"'), F.translate(col, '"', "")).otherwise(col)
-    tail = F.substring(text, 20, 40)
+    tail = F.substring(text, F.lit(20), F.length(text))
     stated = tail.contains("+") | tail.contains("-") | tail.endswith("Z")
     instant = F.when(stated, text).otherwise(F.concat(text, F.lit(default_offset)))
     shifted = F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(

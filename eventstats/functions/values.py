@@ -23,8 +23,8 @@ def null_to_empty(col: Column) -> Column:
 
 
 def is_blank(col: Column) -> Column:
-    """True for null, empty and whitespace-only text."""
-    return F.trim(null_to_empty(col)) == ""
+    """True for null, empty text, and text of nothing but characters up to U+0020."""
+    return null_to_empty(col).rlike(r"\A[\x00-\x20]*\z")
 
 
 def first_non_empty(*cols: Column) -> Column:
@@ -42,7 +42,7 @@ def is_int32(col: Column) -> Column:
     The pattern is needed beside the cast, which also accepts ' 5 '.
     """
     return F.coalesce(
-        col.rlike(r"^[+-]?[0-9]+$") & col.try_cast("int").isNotNull(), F.lit(False)
+        col.rlike(r"^[+-]?[0-9]+\z") & col.try_cast("int").isNotNull(), F.lit(False)
     )
 
 

@@ -66,6 +66,8 @@ class Flow:
             r.withColumn("set_id", F.lit(set_id))
             for set_id, r in self.results(self.prepare(df)).items()
         ]
+        if not results:
+            return no_statistics(df).withColumn("set_id", F.lit(None).cast("int"))
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
 
     def on_batch(
@@ -105,9 +107,17 @@ class Flow:
                 results.append(run_step(df, step))
         for select, stats in shared.items():
             results.append(statistics(select_then_where(df, list(select)), *stats))
+        if not results:
+            return no_statistics(df)
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
 
 
+def no_statistics(df: DataFrame) -> DataFrame:
+    """What a set without an enabled compute step gives: the columns of statistics, no rows."""
+    texts = ("key", "keyName", "data_type", "value_type", "cycle", "agg")
+    return df.sparkSession.createDataFrame([], "value long, " + ", ".join(f"{t} string" for t in texts))
+
+
 def record_udf(fn: Callable[..., object], returns: DataType | str):
     """A column function from a per-record Python function, run over Arrow batches.
 

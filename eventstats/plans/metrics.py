@@ -44,7 +44,7 @@ def _all(*conditions: str | None) -> str | None:
 
 
 def _quoted(values: Sequence[str]) -> str:
-    return ", ".join("'" + v.replace("'", "\\'") + "'" for v in values)
+    return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
 
 
 def specs(

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -9,12 +8,7 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new directory under the shared folder named by ``spark.checkpoint.dir``.
 
-    Where that is unset a temporary folder serves, but only in local mode, where every
-    task runs on this machine.
+    Where that is unset, the warehouse of the session serves, which executors share too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="eventstats-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
