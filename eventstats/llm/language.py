@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Labelled documents that the model is fitted on, by hash of the id; all if there are fewer.
+#: Rows that share the last id's hash all take part.
 TRAIN_DOCS = 20_000
 #: Words kept for each language, the most frequent ones, and the orders of n-grams.
 WORDS_PER_LANGUAGE = 20_000
@@ -62,7 +63,9 @@ def fit(labelled: DataFrame, docs: int = TRAIN_DOCS, words: int = WORDS_PER_LANG
     words of each language reach the driver.
     """
     usable = labelled.filter("text is not null and lang is not null")
-    chosen = usable.select("doc_id", "lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(docs)
+    mark = F.xxhash64("doc_id")
+    cut = usable.select(mark.alias("mark")).orderBy("mark").limit(docs).agg(F.max("mark")).first()[0]
+    chosen = usable.filter(mark <= F.lit(cut))  # the texts stay where they are read
     counted = (
         chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]+"), 0)).alias("word"))
         .groupBy("lang", "word").agg(F.count("*").alias("n"))
