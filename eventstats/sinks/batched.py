@@ -1,85 +1,116 @@
 """A parquet table written one batch at a time, safe to replay.
 
-    <path>/batches/batch_id=N/    rows of batch N; writing N again replaces them
-    <path>/folded/upto=N/         rows that replace batches 0..N
+    <path>/batches/run=R/batch_id=N/        rows of batch N; writing N again replaces them
+    <path>/folded/run=R/upto=N/<unique>/    rows that replace batches 0..N of the run
 
-Readers use the newest folded part and the batches after it. Folding writes a new part
-first and removes nothing, so a reader never sees half of it.
+A run is one stream checkpoint: batch ids start again at 0 with a new one, and its batches
+stand beside those of other runs. Readers use the newest fold of each run and the batches
+after it. A directory counts once Spark has marked its job as done; a fold goes to a
+directory of its own and removes nothing, so a fold that was cut short is never read.
+
+Columns that a later batch adds are null in earlier rows; one name with two types is an
+error, and so is a batch missing between two others. Write every batch, also an empty one.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+_DONE = "_SUCCESS"
 
 
 class BatchTable:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, run: str = "0"):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.run = "run=" + quote(run, safe="")
 
     def write_batch(self, df: DataFrame, batch_id: int, *partition_by: str) -> None:
-        self._write(df, f"batches/batch_id={batch_id}", partition_by)
+        self._write(df, f"batches/{self.run}/batch_id={batch_id}", partition_by)
 
     def read_batch(self, batch_id: int) -> DataFrame | None:
-        """Rows of one batch, None when it was never written."""
-        return self._load(f"{self.path}/batches/batch_id={batch_id}")
+        """Rows of one batch of this run, None when it was never written."""
+        path = f"{self.path}/batches/{self.run}/batch_id={batch_id}"
+        return self._load([path], path) if self._done(path) else None
 
     def read(self, before: int | None = None) -> DataFrame | None:
-        """All rows, or those of batches before ``before``; None when there are none yet."""
-        folded, upto = self._newest_folded(before)
-        batches = self._load_batches(upto, before)
-        if batches is not None:
-            if upto is not None:
-                batches = batches.filter(F.col("batch_id") > upto)
-            if before is not None:
-                batches = batches.filter(F.col("batch_id") < before)
-            batches = batches.drop("batch_id")
-        parts = [p for p in (folded, batches) if p is not None]
-        if not parts:
-            return None
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        """Rows of all runs; of this run only batches before ``before``, if that is given.
+
+        None when there are none yet.
+        """
+        root = f"{self.path}/*"
+        runs = {p.split("/")[-2] for p in self._done(f"{root}/run=*/batch_id=*")}
+        runs |= {p.split("/")[-3] for p in self._done(f"{root}/run=*/upto=*/*")}
+        parts = []
+        for run in sorted(runs):
+            parts += self._parts(run, before if run == self.run else None)
+        return reduce(_united, parts) if parts else None
 
     def fold(
         self, upto: int, fn: Callable[[DataFrame], DataFrame], *partition_by: str
     ) -> None:
-        """Replace batches 0..upto by ``fn`` of their rows. Only fold batches that are done."""
-        rows = self.read(before=upto + 1)
-        if rows is not None:
-            self._write(fn(rows), f"folded/upto={upto}", partition_by)
+        """Replace batches 0..upto of this run by ``fn`` of their rows. Only fold batches
+        that are done."""
+        parts = self._parts(self.run, upto + 1)
+        if parts:
+            name = f"folded/{self.run}/upto={upto}/{uuid.uuid4().hex}"
+            self._write(fn(reduce(_united, parts)), name, partition_by)
 
     def _write(self, df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
         """Rebalancing gives each directory few files, and a large one several tasks."""
         if partition_by:
             df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("overwrite").partitionBy(*partition_by)
+        writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
         writer.parquet(f"{self.path}/{name}")
 
-    def _newest_folded(self, before: int | None) -> tuple[DataFrame | None, int | None]:
-        parts = self._load(f"{self.path}/folded")
-        if parts is None:
-            return None, None
-        if before is not None:
-            parts = parts.filter(F.col("upto") < before)
-        newest = parts.agg(F.max("upto")).first()[0]
-        if newest is None:
-            return None, None
-        return parts.filter(F.col("upto") == newest).drop("upto"), newest
-
-    def _load_batches(self, upto: int | None, before: int | None) -> DataFrame | None:
-        """The unfolded batches; with both ends known no other directory is looked into."""
-        root = f"{self.path}/batches"
-        if upto is None or before is None:
-            return self._load(root)
-        ids = ",".join(str(i) for i in range(upto + 1, before))
-        return self._load(f"{root}/batch_id={{{ids}}}", basePath=root) if ids else None
-
-    def _load(self, path: str, **options: str) -> DataFrame | None:
+    def _parts(self, run: str, before: int | None) -> list[DataFrame]:
+        """The newest fold of a run and the batches after it."""
+        folds = self._done(f"{self.path}/folded/{run}/upto=*/*")
+        ends = {path: int(path.split("/")[-2].removeprefix("upto=")) for path in folds}
+        usable = [p for p in folds if before is None or ends[p] < before]
+        fold = max(usable, key=lambda p: (ends[p], folds[p], p), default=None)
+
+        root = f"{self.path}/batches/{run}"
+        ids = {int(p.rpartition("=")[2]): p for p in self._done(f"{root}/batch_id=*")}
+        after = -1 if fold is None else ends[fold]
+        wanted = sorted(i for i in ids if i > after and (before is None or i < before))
+        if wanted:
+            first = wanted[0] if fold is None else after + 1
+            missing = sorted(set(range(first, wanted[-1])) - set(wanted))
+            if missing:
+                raise ValueError(f"batches {missing[:10]} are missing in {root}")
+        parts = [self._load([fold], fold)] if fold else []
+        if wanted:
+            batches = self._load([ids[i] for i in wanted], root)
+            parts.append(batches if batches is None else batches.drop("batch_id"))
+        return [p for p in parts if p is not None]
+
+    def _done(self, pattern: str) -> dict[str, int]:
+        """Directories whose write is complete, with the time of their mark."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/{_DONE}")
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        found = path.getFileSystem(conf).globStatus(path)
+        return {str(s.getPath().getParent()): s.getModificationTime() for s in found or []}
+
+    def _load(self, paths: list[str], base: str) -> DataFrame | None:
         try:
-            return self.spark.read.options(**options).parquet(path)
+            reader = self.spark.read.option("basePath", base).option("mergeSchema", True)
+            return reader.parquet(*paths)
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # no rows and no files
                 return None
             raise
+
+
+def _united(a: DataFrame, b: DataFrame) -> DataFrame:
+    odd = [f.name for f in b.schema if f.name in a.columns and a.schema[f.name].dataType != f.dataType]
+    if odd:
+        raise ValueError(f"columns {odd} changed their types")
+    return a.unionByName(b, allowMissingColumns=True)

@@ -30,9 +30,16 @@ class TallyTable:
     """Documents with summed values. ``values`` maps each summed field to its type name;
     all other fields make up the document and its id."""
 
-    def __init__(self, spark: SparkSession, path: str, values: Mapping[str, str] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        values: Mapping[str, str] | None = None,
+        run: str = "0",
+    ):
+        """``run`` names the stream checkpoint that the batch ids belong to."""
         self.values = dict(values or {"value": "long"})
-        self.table = BatchTable(spark, path)
+        self.table = BatchTable(spark, path, run)
 
     def add_batch(self, df: DataFrame, batch_id: int) -> None:
         """Store the batch's increments, already summed per document."""

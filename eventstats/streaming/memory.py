@@ -39,8 +39,10 @@ class SeenKeys:
         intervals: Sequence[str] = ("daily",),
         time_col: str = "time",
         tiebreak: Sequence[str] = ("event_id",),
+        run: str = "0",
     ):
-        self.table = BatchTable(spark, path)
+        """``run`` names the stream checkpoint; keys of other runs count as met."""
+        self.table = BatchTable(spark, path, run)
         self.keys = list(keys)
         self.intervals = widest_last(intervals)
         self.time_col = time_col

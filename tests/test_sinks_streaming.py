@@ -86,6 +86,73 @@ def test_batch_table_reads_only_the_batches_asked_for(spark, path):
     assert "batch_id" not in table.read().columns
 
 
+def test_a_fold_that_was_cut_short_is_not_read(spark, path):
+    root = path()
+    tally = TallyTable(spark, root)
+    for i in range(3):
+        tally.add_batch(counts(spark, ("a", 1), ("b", 2)), i)
+    half = f"{root}/folded/run=0/upto=2/half"
+    counts(spark, ("a", 1)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half)
+    assert totals(tally) == {"a": 3, "b": 6}
+
+
+def test_folding_rows_twice(spark, path):
+    table = BatchTable(spark, path())
+    table.write_batch(counts(spark, ("a", 1), ("a", 1)), 0)
+    for _ in range(2):
+        table.fold(0, lambda rows: rows)
+    assert table.read().count() == 2
+
+
+@pytest.mark.parametrize("folded", [False, True])
+def test_a_new_checkpoint_adds(spark, path, folded):
+    root = path()
+    first = TallyTable(spark, root, run="first")
+    first.add_batch(counts(spark, ("a", 1)), 0)
+    first.add_batch(counts(spark, ("a", 2)), 1)
+    if folded:
+        first.compact(1)
+    second = TallyTable(spark, root, run="s/2")
+    second.add_batch(counts(spark, ("a", 100)), 0)
+    assert totals(first) == totals(second) == {"a": 103}
+    second.compact(0)
+    assert totals(first) == totals(second) == {"a": 103}
+
+
+def test_an_added_dimension_keeps_documents_apart(spark, path):
+    tally = TallyTable(spark, path())
+    tally.add_batch(counts(spark, ("a", 1)), 0)
+    wider = spark.createDataFrame([("a", "web", 4), ("a", "app", 8)], "host string, platform string, value bigint")
+    tally.add_batch(wider, 1)
+    want = {("a", None, 1), ("a", "web", 4), ("a", "app", 8)}
+    for upto in (None, 0, 1):
+        if upto is not None:
+            tally.compact(upto)
+        got = tally.current().select("host", "platform", "value", "doc_id").collect()
+        assert {tuple(r)[:3] for r in got} == want and len({r["doc_id"] for r in got}) == 3
+
+
+def test_a_column_of_another_type_is_an_error(spark, path):
+    table = BatchTable(spark, path())
+    table.write_batch(counts(spark, ("a", 1)), 0)
+    table.fold(0, lambda rows: rows)
+    table.write_batch(spark.createDataFrame([("a", "x")], "host string, value string"), 1)
+    with pytest.raises(ValueError, match="value"):
+        table.read()
+
+
+def test_a_missing_batch_is_an_error(spark, path):
+    table = BatchTable(spark, path())
+    for i in (0, 1, 3):
+        table.write_batch(counts(spark, ("a", 1)), i)
+    assert table.read(before=2).count() == 2
+    with pytest.raises(ValueError, match=r"\[2\]"):
+        table.read()
+    table.fold(1, lambda rows: rows)
+    with pytest.raises(ValueError, match=r"\[2\]"):
+        table.read()
+
+
 def test_routed_rows(spark, path):
     table = BatchTable(spark, path())
     rows = [("i", "01", 1), ("i", "1", 2), ("j", "01", 3)]
