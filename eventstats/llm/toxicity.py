@@ -71,6 +71,19 @@ def gram_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, begins
 
 
+def spans(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The positions of all spans that begin at ``begins``, one span after the other."""
+    return np.arange(int(counts.sum())) + np.repeat(begins - np.cumsum(counts) + counts, counts)
+
+
+def sums_by_row(where: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in ``where``, ascending, and the sum of the rows of each."""
+    order = np.argsort(where, kind="stable")
+    found = where[order]
+    first = np.flatnonzero(np.append(True, found[1:] != found[:-1])[: len(found)])
+    return found[first], np.add.reduceat(values[order], first, axis=0)
+
+
 def window_starts(n: int) -> np.ndarray:
     """Where the windows of a text of ``n`` words begin; at least one, the last reaches the end."""
     return np.arange(0, max(n - WINDOW, 0) + STRIDE, STRIDE)
@@ -162,7 +175,7 @@ class Network:
             side = slice(0, STATE) if d == "f" else slice(STATE, 2 * STATE)
             U, W = self.p["U" + d], self.p["W" + d]
             dh = np.zeros((len(at), STATE), np.float32)
-            dgate = np.zeros((len(x), 3 * STATE), np.float32)
+            dgate = np.empty((*at.shape, 3 * STATE), np.float32)
             for t, h, z, r, n, gn, m in reversed(kept[d]):
                 dh = dh + dstates[:, t, side]
                 dn = dh * m * (1 - z) * (1 - n * n)
@@ -171,9 +184,10 @@ class Network:
                 dg = np.hstack([dz, dr, dn * r])
                 g["U" + d] += h.T @ dg
                 dh = dh * (1 - m * (1 - z)) + dg @ U.T
-                np.add.at(dgate, at[:, t], np.hstack([dz, dr, dn]))
-            g["W" + d], g["c" + d] = x.T @ dgate, dgate.sum(axis=0)
-            dx += dgate @ W.T
+                dgate[:, t] = np.hstack([dz, dr, dn])
+            used, total = sums_by_row(at.ravel(), dgate.reshape(-1, 3 * STATE))
+            g["W" + d], g["c" + d] = x[used].T @ total, total.sum(axis=0)
+            dx[used] += total @ W.T
         return g, dx
 
 
@@ -231,7 +245,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
             pick = chosen[i : i + 256]
             used, local = np.unique(at[pick], return_inverse=True)
             local = local.reshape(len(pick), WINDOW)
-            span = np.concatenate([np.arange(begins[w], begins[w] + counts[w]) for w in used])
+            span = spans(begins[used], counts[used])
             x = net.inputs(rows[used], grams[span], np.cumsum(counts[used]) - counts[used])
             label = toxic[pick].astype(np.float32)
             weight = np.where(label == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6)) / len(pick)
@@ -241,9 +255,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
                 net.p[name] -= 0.1 * value / np.sqrt(speed[name])
             dgram = np.repeat(dx[:, WIDTH:] / counts[used][:, None], counts[used], axis=0)
             for name, where, value in (("words", rows[used], dx[:, :WIDTH]), ("grams", grams[span], dgram)):
-                hit, back = np.unique(where, return_inverse=True)
-                total = np.zeros((len(hit), WIDTH), np.float32)
-                np.add.at(total, back.ravel(), value)
+                hit, total = sums_by_row(where, value)
                 speed[name][hit] += total * total
                 net.p[name][hit] -= 0.05 * total / np.sqrt(speed[name][hit])
                 net.p[name][0] = 0
@@ -266,7 +278,7 @@ def _common(docs: list[np.ndarray], words: list[str]) -> tuple[dict[str, int], n
         used = np.unique(doc)
         texts[used] += 1
         if len(used):
-            gram_texts[np.unique(np.concatenate([row[begins[w] : begins[w] + counts[w]] for w in used]))] += 1
+            gram_texts[np.unique(row[spans(begins[used], counts[used])])] += 1
     kept = np.flatnonzero(texts >= least)
     return {words[w]: i + 1 for i, w in enumerate(kept)}, distinct[gram_texts >= least]
 
@@ -279,7 +291,7 @@ def _start_from_counts(net: Network, docs, y, rows, grams, begins, counts) -> No
             used = np.unique(doc)
             if not len(used):
                 continue
-            found = rows[used] if name == "words" else np.concatenate([grams[begins[w] : begins[w] + counts[w]] for w in used])
+            found = rows[used] if name == "words" else grams[spans(begins[used], counts[used])]
             seen[label, np.unique(found)] += 1
         expected = seen.sum(axis=0) * y.mean()
         seen[:, 0] = expected[0] = 0
