@@ -12,11 +12,14 @@ and ``enabled`` (default true). Its other entries depend on type and method:
     spark-sql              select: list of expressions, where: predicate
     compute / spark-sql    select, where, and stat: StatSpec
     plugin                 fn: DataFrame -> DataFrame
+
+A compute step may have ``output``, a DataFrame -> DataFrame applied to its result on the way
+to the sink, and a sink of its own (see ``Flow.on_batch``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -26,6 +29,8 @@ from pyspark.sql.types import DataType, StructType
 from eventstats.operators.columns import select_then_where
 from eventstats.operators.stats import statistics
 
+Sink = Callable[[DataFrame, int], None]
+
 STEP_TYPES = ("filter", "enhance", "compute")
 STEP_METHODS = ("spark-sql", "plugin")
 
@@ -71,21 +76,33 @@ class Flow:
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
 
     def on_batch(
-        self, sinks: Mapping[int, Callable[[DataFrame, int], None]]
-    ) -> Callable[[DataFrame, int], None]:
+        self,
+        sinks: Mapping[int, Sink],
+        step_sinks: Mapping[tuple[int, int], Sink] | None = None,
+    ) -> Sink:
         """A ``foreachBatch`` function: prepare once, give every set's result to its sink.
 
-        The prepared frame is kept only when several sets read it.
+        ``step_sinks`` names, by set id and step id, compute steps whose results go elsewhere;
+        the set's sink gets the rest, and is not needed when no step is left for it. The
+        prepared frame is kept only when several results read it.
         """
-        shared = len(enabled(self.spec["sets"])) > 1
+        outputs = []
+        for one_set in enabled(self.spec["sets"]):
+            set_id, steps = int(one_set["id"]), enabled(one_set["computes"])
+            apart = [s for s in steps if (set_id, int(s["id"])) in (step_sinks or {})]
+            rest = [s for s in steps if s not in apart]
+            outputs += [(one_set, [s], step_sinks[set_id, int(s["id"])]) for s in apart]
+            if rest or not apart:
+                outputs.append((one_set, rest, sinks[set_id]))
+        shared = len(outputs) > 1
 
         def run(batch: DataFrame, batch_id: int) -> None:
             prepared = self.prepare(batch)
             if shared:
                 prepared.persist()
             try:
-                for set_id, result in self.results(prepared).items():
-                    sinks[set_id](result, batch_id)
+                for one_set, steps, sink in outputs:
+                    sink(self._set_result(prepared, one_set, steps), batch_id)
             finally:
                 if shared:
                     prepared.unpersist()
@@ -93,18 +110,21 @@ class Flow:
         return run
 
     @staticmethod
-    def _set_result(prepared: DataFrame, one_set: Mapping) -> DataFrame:
+    def _set_result(
+        prepared: DataFrame, one_set: Mapping, steps: Sequence[Mapping] | None = None
+    ) -> DataFrame:
         """Compute steps see the set's prepared frame, not each other's results. Plain SQL
         computes that add up and read the same columns share one pass."""
         df = reduce(run_step, enabled(one_set.get("prepares", [])), prepared)
         shared: dict[tuple, list] = {}
         results = []
-        for step in enabled(one_set["computes"]):
+        for step in enabled(one_set["computes"]) if steps is None else steps:
             plain = step.get("method") == "spark-sql" and step.get("type") == "compute"
-            if plain and not step.get("where"):
+            if plain and not step.get("where") and not step.get("output"):
                 shared.setdefault(tuple(step.get("select") or ()), []).append(step["stat"])
             else:
-                results.append(run_step(df, step))
+                result = run_step(df, step)
+                results.append(result.transform(step["output"]) if step.get("output") else result)
         for select, stats in shared.items():
             results.append(statistics(select_then_where(df, list(select)), *stats))
         if not results:

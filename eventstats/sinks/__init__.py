@@ -1,4 +1,10 @@
 from eventstats.sinks.batched import BatchTable
 from eventstats.sinks.console import print_rows
 from eventstats.sinks.external import elasticsearch_options, jdbc_options, write_external
-from eventstats.sinks.tally import TallyTable, read_routed, typed_values, write_routed
+from eventstats.sinks.tally import (
+    TallyTable,
+    forward_changed,
+    read_routed,
+    typed_values,
+    write_routed,
+)

@@ -10,10 +10,12 @@ directory of its own and removes nothing, so a fold that was cut short is never
 
 Columns that a later batch adds are null in earlier rows; one name with two types is an
 error, and so is a batch missing between two others. Write every batch, also an empty one.
+``remove_replaced`` deletes what folds have replaced, when no reader can use it any more.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
@@ -62,6 +64,31 @@ class BatchTable:
             name = f"folded/{self.run}/upto={upto}/{uuid.uuid4().hex}"
             self._write(fn(reduce(_united, parts)), name, partition_by)
 
+    def remove_replaced(self, grace_seconds: float = 3600) -> int:
+        """Delete older folds and folded batches of this run; gives the number of directories.
+
+        Nothing goes before the newest fold is ``grace_seconds`` old, so that readers that began
+        before it can end. The last folded batch stays for those who compare with it.
+        """
+        folds = self._done(f"{self.path}/folded/{self.run}/upto=*/*")
+        if not folds:
+            return 0
+        newest = self._newest(folds)
+        if time.time() - folds[newest] / 1000 < grace_seconds:
+            return 0
+        upto = _upto(newest)
+        batches = self._done(f"{self.path}/batches/{self.run}/batch_id=*")
+        gone = [p for p in folds if p != newest]
+        gone += [p for p in batches if int(p.rpartition("=")[2]) < upto]
+        for path in gone:
+            jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(self._hadoop_conf()).delete(jpath, True)
+        return len(gone)
+
+    @staticmethod
+    def _newest(folds: dict[str, int]) -> str | None:
+        return max(folds, key=lambda p: (_upto(p), folds[p], p), default=None)
+
     def _write(self, df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
         """Rebalancing gives each directory few files, and a large one several tasks."""
         if partition_by:
@@ -73,13 +100,12 @@ class BatchTable:
     def _parts(self, run: str, before: int | None) -> list[DataFrame]:
         """The newest fold of a run and the batches after it."""
         folds = self._done(f"{self.path}/folded/{run}/upto=*/*")
-        ends = {path: int(path.split("/")[-2].removeprefix("upto=")) for path in folds}
-        usable = [p for p in folds if before is None or ends[p] < before]
-        fold = max(usable, key=lambda p: (ends[p], folds[p], p), default=None)
+        usable = {p: t for p, t in folds.items() if before is None or _upto(p) < before}
+        fold = self._newest(usable)
 
         root = f"{self.path}/batches/{run}"
         ids = {int(p.rpartition("=")[2]): p for p in self._done(f"{root}/batch_id=*")}
-        after = -1 if fold is None else ends[fold]
+        after = -1 if fold is None else _upto(fold)
         wanted = sorted(i for i in ids if i > after and (before is None or i < before))
         if wanted:
             first = wanted[0] if fold is None else after + 1
@@ -95,10 +121,12 @@ class BatchTable:
     def _done(self, pattern: str) -> dict[str, int]:
         """Directories whose write is complete, with the time of their mark."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/{_DONE}")
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        found = path.getFileSystem(conf).globStatus(path)
+        found = path.getFileSystem(self._hadoop_conf()).globStatus(path)
         return {str(s.getPath().getParent()): s.getModificationTime() for s in found or []}
 
+    def _hadoop_conf(self):
+        return self.spark._jsparkSession.sessionState().newHadoopConf()
+
     def _load(self, paths: list[str], base: str) -> DataFrame | None:
         try:
             reader = self.spark.read.option("basePath", base).option("mergeSchema", True)
@@ -109,6 +137,10 @@ class BatchTable:
             raise
 
 
+def _upto(fold: str) -> int:
+    return int(fold.split("/")[-2].removeprefix("upto="))
+
+
 def _united(a: DataFrame, b: DataFrame) -> DataFrame:
     odd = [f.name for f in b.schema if f.name in a.columns and a.schema[f.name].dataType != f.dataType]
     if odd:

@@ -17,7 +17,10 @@ def jdbc_options(
 
 
 def elasticsearch_options(nodes: str, resource: str, id_field: str = "doc_id") -> dict[str, str]:
-    """Options of the Spark connector for idempotent upserts by document id."""
+    """Options of the Spark connector for idempotent upserts by document id.
+
+    An upsert replaces: write totals, such as ``forward_changed`` gives, not increments.
+    """
     return {
         "es.nodes": nodes,
         "es.resource": resource,

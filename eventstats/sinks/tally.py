@@ -6,7 +6,8 @@ replay replaces its own increments, and late events simply add to their old docu
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -58,6 +59,21 @@ class TallyTable:
         documents = self._summed(rows)
         return documents.withColumn(ID, doc_id(*self._fields(documents)))
 
+    def changed(self, batch_id: int) -> DataFrame:
+        """Documents that a batch of this run touched, with ``doc_id`` and their totals so far.
+
+        Totals replace totals in an outside store, so writing them again does no harm.
+        """
+        batch, rows = self.table.read_batch(batch_id), self.table.read()
+        if batch is None or rows is None:
+            raise ValueError(f"batch {batch_id} was not written to {self.table.path}")
+        batch = batch.unionByName(rows.limit(0), allowMissingColumns=True)
+        fields = self._fields(rows)
+        touched = batch.select(*fields).distinct().withColumnsRenamed({c: f"_t_{c}" for c in fields})
+        on = [rows[c].eqNullSafe(touched[f"_t_{c}"]) for c in fields] or [F.lit(True)]
+        documents = self._summed(rows.join(touched, reduce(lambda a, b: a & b, on), "left_semi"))
+        return documents.withColumn(ID, doc_id(*fields))
+
     def with_raw_data(self, name: str = "raw_data") -> DataFrame:
         """Current documents with a JSON copy of themselves."""
         documents = self.current()
@@ -67,6 +83,10 @@ class TallyTable:
     def compact(self, upto: int) -> None:
         self.table.fold(upto, self._summed)
 
+    def remove_replaced(self, grace_seconds: float = 3600) -> int:
+        """Delete what folds have replaced; see ``BatchTable.remove_replaced``."""
+        return self.table.remove_replaced(grace_seconds)
+
     def _fields(self, df: DataFrame) -> list[str]:
         return [c for c in df.columns if c not in self.values and c != ID]
 
@@ -75,6 +95,19 @@ class TallyTable:
         return df.groupBy(*self._fields(df)).agg(*sums)
 
 
+def forward_changed(
+    tally: TallyTable, write: Callable[[DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """A batch sink that adds statistics to ``tally`` and gives the new totals of the documents
+    it touched to ``write``: an outside store that can only replace still adds up."""
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        tally.add_statistics(df, batch_id)
+        write(tally.changed(batch_id), batch_id)
+
+    return run
+
+
 def write_routed(
     table: BatchTable,
     df: DataFrame,

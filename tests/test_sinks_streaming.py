@@ -278,3 +278,57 @@ def test_tumbling_windows_in_wall_clock_time(spark, path):
     got = {(r["s"], r["k"]): r["value"] for r in latest_windows(out, ["k"]).select(
         F.col("start").cast("string").alias("s"), "k", "value").collect()}
     assert got == {("2024-03-10 02:30:00", "a"): 2, ("2024-03-10 02:40:00", "b"): 1}
+
+
+def test_changed_documents_have_their_totals(spark, path):
+    tally = TallyTable(spark, path())
+    for batch_id, rows in enumerate(([("a", 1), ("b", 2)], [("b", 5), (None, 1)])):
+        tally.add_batch(spark.createDataFrame(rows, "host string, value long"), batch_id)
+    changed = tally.changed(1)
+    assert {(r.host, r.value) for r in changed.collect()} == {("b", 7), (None, 1)}
+    ids = {r.host: r.doc_id for r in tally.current().collect()}
+    assert all(ids[r.host] == r.doc_id for r in changed.collect())
+    with pytest.raises(ValueError, match="not written"):
+        tally.changed(2)
+
+
+def test_changed_after_an_added_dimension(spark, path):
+    tally = TallyTable(spark, path())
+    tally.add_batch(spark.createDataFrame([("a", 1)], "host string, value long"), 0)
+    later = spark.createDataFrame([("a", "web", 3), ("a", None, 4)], "host string, platform string, value long")
+    tally.add_batch(later, 1)
+    assert {(r.platform, r.value) for r in tally.changed(1).collect()} == {("web", 3), (None, 5)}
+
+
+def test_replaced_parts_go_after_a_while(spark, path):
+    tally = TallyTable(spark, path())
+    for batch_id in range(5):
+        tally.add_batch(spark.createDataFrame([("a", 1)], "host string, value long"), batch_id)
+        if batch_id in (2, 3):
+            tally.compact(batch_id)
+    assert tally.remove_replaced() == 0  # readers may still use them
+    assert tally.remove_replaced(grace_seconds=0) == 4  # one fold, batches 0 to 2
+    assert tally.remove_replaced(grace_seconds=0) == 0
+    assert [r.value for r in tally.current().collect()] == [5]
+    assert tally.table.read_batch(3).count() == 1
+
+
+def test_stream_compacts_by_itself(spark, path):
+    lines, checkpoint, done = path(), path(), []
+    tally = TallyTable(spark, path())
+
+    def on_batch(batch, batch_id):
+        counts = batch.groupBy(F.col("value").alias("word")).agg(F.count(F.lit(1)).alias("value"))
+        tally.add_batch(counts, batch_id)
+
+    def compact(upto):
+        done.append(upto)
+        tally.compact(upto)
+        tally.remove_replaced(grace_seconds=0)
+
+    for _ in range(5):
+        spark.createDataFrame([("a",)], "value string").write.mode("append").text(lines)
+        stream = spark.readStream.text(lines)
+        run_stream(stream, on_batch, checkpoint, compact=compact, compact_every=2)
+    assert done == [1, 3]
+    assert [(r.word, r.value) for r in tally.current().collect()] == [("a", 5)]

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 from eventstats import functions as fn
 from eventstats.operators import statistics
 from eventstats.plans import metrics
-from eventstats.sinks import BatchTable, TallyTable, read_routed, write_routed
+from eventstats.sinks import (
+    BatchTable,
+    TallyTable,
+    forward_changed,
+    print_rows,
+    read_routed,
+    typed_values,
+    write_routed,
+)
 from eventstats.streaming import shared_dir
 from workload import inputs
 from workload.oracle import sql, stat_sql
@@ -18,12 +26,19 @@ _SETS = [("L1", "host", ["host"]), ("L2", "platform", ["platform"])]
 _COUNTS = stat_sql("tracking", _SETS, ["host", "platform"], "activity", "visits")
 
 
+THIRDS = ("day(ts) <= 10", "day(ts) BETWEEN 11 AND 20", "day(ts) > 20")
+
+
+def _third(spark, sf_dir, part: str, targets=("L1", "L2")):
+    """Counts of the events of some days; the days are chosen before anything is parsed."""
+    events = inputs.with_k(inputs.table(spark, sf_dir, "events").filter(part))
+    return statistics(inputs.to_tracking(inputs.to_tracking_json(events)), spec(list(targets)))
+
+
 def _add_thirds(spark, sf_dir, tally: TallyTable, replay: bool = False) -> None:
     """The events as three batches by day."""
-    rows = inputs.tracking(spark, sf_dir)
-    parts = ("< '2024-01-11'", "BETWEEN '2024-01-11' AND '2024-01-20~'", "> '2024-01-20~'")
-    for batch_id, part in enumerate(parts):
-        counts = statistics(rows.filter(f"time {part}"), spec(["L1", "L2"]))
+    for batch_id, part in enumerate(THIRDS):
+        counts = _third(spark, sf_dir, part)
         for _ in range(2 if replay else 1):
             tally.add_statistics(counts, batch_id)
 
@@ -45,6 +60,102 @@ def sink_replay_idempotent(spark, sf_dir):
     return tally.current().drop("doc_id")
 
 
+@query("sink_fold_crash", sql(_COUNTS, "tracking"))
+def sink_fold_crash(spark, sf_dir):
+    """A fold that holds part of the rows and was never marked as done counts for nothing."""
+    tally = TallyTable(spark, shared_dir(spark, "tally"))
+    _add_thirds(spark, sf_dir, tally)
+    cut_short = f"{tally.table.path}/folded/{tally.table.run}/upto=2/cut-short"
+    rows = tally.table.read_batch(0).filter("host = 'h0'")
+    unmarked = rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    unmarked.parquet(cut_short)
+    return tally.current().drop("doc_id")
+
+
+@query("sink_new_checkpoint", sql(_COUNTS, "tracking"))
+def sink_new_checkpoint(spark, sf_dir):
+    """A second stream checkpoint starts at batch 0 again, also after a fold, and adds."""
+    path = shared_dir(spark, "tally")
+    first, second = (TallyTable(spark, path, run=run) for run in ("first", "second"))
+    first.add_statistics(_third(spark, sf_dir, THIRDS[0]), 0)
+    first.add_statistics(_third(spark, sf_dir, THIRDS[1]), 1)
+    first.compact(1)
+    first.remove_replaced(grace_seconds=0)
+    second.add_statistics(_third(spark, sf_dir, THIRDS[2]), 0)
+    return second.current().drop("doc_id")
+
+
+@query(
+    "sink_added_dimension",
+    sql(
+        stat_sql("(SELECT * FROM tracking WHERE day(ts) <= 10)", _SETS[:1], ["host", "platform"],
+                 "activity", "visits")
+        + "\nUNION ALL\n"
+        + stat_sql("(SELECT * FROM tracking WHERE day(ts) > 10)",
+                   [("L1,L2", "host,platform", ["host", "platform"])], ["host", "platform"],
+                   "activity", "visits"),
+        "tracking",
+    ),
+)
+def sink_added_dimension(spark, sf_dir):
+    """Later batches count by one more dimension; their documents stay apart from the older."""
+    tally = TallyTable(spark, shared_dir(spark, "tally"))
+    for batch_id, (part, target) in enumerate(zip(THIRDS, ("L1", "L1:L2", "L1:L2"))):
+        tally.add_statistics(_third(spark, sf_dir, part, [target]), batch_id)
+    return tally.current().drop("doc_id")
+
+
+@query(
+    "sink_changed_documents",
+    sql(
+        """SELECT user_id, CAST(count(*) AS BIGINT) AS "value" FROM tracking
+WHERE user_id IN (SELECT user_id FROM tracking WHERE day(ts) > 20) GROUP BY user_id""",
+        "tracking",
+    ),
+)
+def sink_changed_documents(spark, sf_dir):
+    """What an outside store gets with the last batch: new totals of the documents in it."""
+    tally = TallyTable(spark, shared_dir(spark, "tally"))
+    store = BatchTable(spark, shared_dir(spark, "store"))
+    add = forward_changed(tally, store.write_batch)
+    for batch_id, part in enumerate(THIRDS):
+        events = inputs.with_k(inputs.table(spark, sf_dir, "events").filter(part))
+        rows = inputs.to_tracking(inputs.to_tracking_json(events))
+        add(rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("value")), batch_id)
+    return store.read_batch(len(THIRDS) - 1).drop("doc_id")
+
+
+@query(
+    "console_rows",
+    sql("SELECT event_group, CAST(count(*) AS BIGINT) AS n FROM tracking GROUP BY ALL", "tracking"),
+)
+def console_rows(spark, sf_dir):
+    """Rows printed on the way pass through unchanged."""
+    counts = inputs.tracking(spark, sf_dir).groupBy("event_group").agg(F.count(F.lit(1)).alias("n"))
+    return print_rows(counts, rows=5)
+
+
+@query(
+    "reject_text_values",
+    sql("""SELECT 'text' AS value_type, true AS rejected, CAST(count(*) AS BIGINT) AS n FROM tracking
+UNION ALL SELECT 'long', false, CAST(count(*) AS BIGINT) FROM tracking""", "tracking"),
+)
+def reject_text_values(spark, sf_dir):
+    """A value declared as text cannot be added up; the same counts declared as long can."""
+    counts = inputs.tracking(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    out = None
+    for type_name in ("text", "long"):
+        try:
+            rows, rejected = typed_values(counts, {"n": type_name}), False
+        except ValueError:
+            rows, rejected = counts, True
+        rows = rows.select(
+            F.lit(type_name).alias("value_type"), F.lit(rejected).alias("rejected"), "n"
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query(
     "sink_multi_sum",
     """SELECT l_returnflag, l_linestatus, CAST(sum(l_linenumber) AS BIGINT) AS line_sum,

@@ -140,10 +140,11 @@ def empty_batch(spark, sf_dir):
         none.write_batch(statistics(nothing, _COUNTS), batch_id)
 
     run_stream(in_place(spark, sf_dir), on_batch, shared_dir(spark, "checkpoint"))
-    empty = none.read().agg(F.count(F.lit(1)).alias("statistics"))
-    return totals.current().select("value").withColumn("_one", F.lit(1)).join(
-        empty.withColumn("_one", F.lit(1)), "_one"
-    ).drop("_one")
+    found = none.read().select(F.lit(1).alias("statistic"), F.lit(0).cast("bigint").alias("value"))
+    both = totals.current().select(F.lit(0).alias("statistic"), "value").unionByName(found)
+    return both.agg(
+        F.sum("statistic").cast("bigint").alias("statistics"), F.sum("value").alias("value")
+    )
 
 
 @query(
@@ -185,6 +186,40 @@ def multi_statistics(spark, sf_dir):
     return one.unionByName(two, allowMissingColumns=True).drop("doc_id")
 
 
+@query(
+    "flow_step_sinks",
+    sql(
+        "SELECT 1 AS step_id, * FROM ("
+        + stat_sql("tracking", [("L1", "host", ["host"])], ["host", "platform"], "activity", "visits")
+        + ")\nUNION ALL\nSELECT 2 AS step_id, * FROM ("
+        + stat_sql("(SELECT * FROM tracking WHERE platform <> 'web')",
+                   [("L2", "platform", ["platform"])], ["host", "platform"], "activity", "visits")
+        + ")",
+        "tracking",
+    ),
+)
+def flow_step_sinks(spark, sf_dir):
+    """Two compute steps of one set write to tables of their own; the second has an output hook."""
+    plugin = {"type": "enhance", "method": "plugin"}
+    compute = {"type": "compute", "method": "spark-sql"}
+    flow = Flow(
+        {
+            "format": [{"id": 1, **plugin, "fn": inputs.to_canonical}],
+            "prepares": [{"id": 1, **plugin, "fn": inputs.enhance_time}],
+            "sets": [{"id": 1, "computes": [
+                {"id": 1, **compute, "stat": spec(["L1"])},
+                {"id": 2, **compute, "stat": spec(["L2"]),
+                 "output": lambda df: df.filter("platform <> 'web'")},
+            ]}],
+        }
+    )
+    tallies = {i: TallyTable(spark, shared_dir(spark, f"tally{i}")) for i in (1, 2)}
+    on_batch = flow.on_batch({}, {(1, i): t.add_statistics for i, t in tallies.items()})
+    run_arrivals(spark, sf_dir, lambda batch, batch_id: on_batch(lines_of(batch), batch_id))
+    one, two = [t.current().withColumn("step_id", F.lit(i)) for i, t in tallies.items()]
+    return one.unionByName(two, allowMissingColumns=True).drop("doc_id")
+
+
 @query(
     "stream_dedup_flags",
     sql(
@@ -216,12 +251,13 @@ def stream_dedup_flags(spark, sf_dir):
 @query(
     "stream_dedup_drop",
     sql(
-        """SELECT DISTINCT user_id, substr(time, 1, 7) AS month FROM tracking WHERE user_id <> ''""",
+        """SELECT DISTINCT user_id, substr(time, 1, 7) AS month FROM tracking WHERE user_id <> ''
+UNION ALL SELECT user_id, substr(time, 1, 7) FROM tracking WHERE user_id = ''""",
         "tracking",
     ),
 )
 def stream_dedup_drop(spark, sf_dir):
-    """Only the first event of a user per month goes on."""
+    """Only the first event of a user per month goes on, and all events without a user."""
     out = BatchTable(spark, shared_dir(spark, "out"))
     seen = SeenKeys(spark, shared_dir(spark, "seen"), intervals=["monthly"])
 
@@ -233,8 +269,7 @@ def stream_dedup_drop(spark, sf_dir):
             rows.unpersist()
 
     run_arrivals(spark, sf_dir, on_batch)
-    named = out.read().filter("user_id <> ''")
-    return named.select("user_id", F.substring("time", 1, 7).alias("month"))
+    return out.read().select("user_id", F.substring("time", 1, 7).alias("month"))
 
 
 @query(
