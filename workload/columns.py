@@ -40,6 +40,30 @@ def read_json_lines(spark, sf_dir):
     return lines.groupBy(*fields).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "union_inputs",
+    sql(f"""SELECT CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS input,
+  {_LINE_FIELDS}, count(*) AS n FROM ev GROUP BY ALL""", "ev"),
+)
+def union_inputs(spark, sf_dir):
+    """Two inputs of lines, each in a folder of its own, read as one."""
+    lines = inputs.tracking_json(spark, sf_dir)
+    path = shared_dir(spark, "two-inputs")
+    halves = F.when(F.col("event_id") % 2 == 0, "even").otherwise("odd").alias("input")
+    lines.select(halves, "value").write.partitionBy("input").text(path)
+    parts = [
+        sources.read_json_lines(spark, f"{path}/input={name}").withColumn("input", F.lit(name))
+        for name in ("even", "odd")
+    ]
+    fields = [
+        fn.json_path(F.col("value"), p).alias(name)
+        for name, p in (("uid", "$.uid"), ("host", "$.host"), ("course_id", "$.event.course_id"))
+    ]
+    return parts[0].unionByName(parts[1]).groupBy("input", *fields).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 @query(
     "json_to_table",
     sql(f"SELECT {_LINE_FIELDS}, count(*) AS n FROM ev GROUP BY ALL", "ev"),
@@ -234,7 +258,10 @@ def evolve_schema(spark, sf_dir):
     "map_labels",
     sql(
         """SELECT event_id, platform AS seen_on, substr(time, 1, 16) || ':00' AS m1_start,
-  substr(time, 1, 16) || ':59' AS m1_end FROM tracking""",
+  substr(time, 1, 16) || ':59' AS m1_end,
+  substr(time, 1, 14) || CASE WHEN substr(time, 15, 2) < '30' THEN '00:00' ELSE '30:00' END AS m30_start,
+  substr(time, 1, 14) || CASE WHEN substr(time, 15, 2) < '30' THEN '29:59' ELSE '59:59' END AS m30_end
+FROM tracking""",
         "tracking",
     ),
 )
@@ -248,6 +275,8 @@ def map_labels(spark, sf_dir):
         F.col("labels")["seen_on"].alias("seen_on"),
         F.col("labels")["time_minute_1_start"].alias("m1_start"),
         F.col("labels")["time_minute_1_end"].alias("m1_end"),
+        F.col("labels")["time_minute_30_start"].alias("m30_start"),
+        F.col("labels")["time_minute_30_end"].alias("m30_end"),
     )
 
 
@@ -298,19 +327,23 @@ FROM ev WHERE event_id % 97 <> 0""",
     ),
 )
 def format_log_strict_uid(spark, sf_dir):
-    """Quoted ids never count; the same lines with bare numbers do."""
-    lines = inputs.tracking_json(spark, sf_dir)
-    bare = F.regexp_replace("value", r'"(uid|user_id)":"(-?[0-9]+)"', '"$1":$2')
+    """Quoted ids never count; the same lines with bare numbers do.
 
-    def strict(df):
-        return op.format_log(
-            df, inputs.RULES, keep=["event_id"], user_id_policy="strict", uuid_from_event=True
-        )
-
-    numbers = strict(lines.withColumn("value", bare))
-    texts = strict(lines).select("event_id", F.col("user_id").alias("texts"))
-    return numbers.select("event_id", F.col("user_id").alias("numbers"), "uuid").join(
-        texts, "event_id"
+    Both forms of a line are formatted in one pass and meet again by partial aggregation.
+    """
+    bare = F.regexp_replace("value", r'"(uid|user_id)":"(-?[0-9]+)"', '"$1":$2')
+    forms = F.array(
+        F.struct(F.lit(True).alias("bare"), bare.alias("value")),
+        F.struct(F.lit(False).alias("bare"), F.col("value")),
+    )
+    lines = inputs.tracking_json(spark, sf_dir).select("event_id", F.inline(forms))
+    rows = op.format_log(
+        lines, inputs.RULES, keep=["event_id", "bare"], user_id_policy="strict", uuid_from_event=True
+    )
+    return rows.groupBy("event_id").agg(
+        F.max(F.when(F.col("bare"), F.col("user_id"))).alias("numbers"),
+        F.max(F.when(~F.col("bare"), F.col("user_id"))).alias("texts"),
+        F.max(F.when(F.col("bare"), F.col("uuid"))).alias("uuid"),
     )
 
 

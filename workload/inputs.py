@@ -53,10 +53,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_k(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
-def to_tracking_json(ev: DataFrame) -> DataFrame:
-    """Events as raw log lines; works on a batch and on a stream."""
+def to_tracking_json(ev: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Events as raw log lines, with columns to carry along; works on a batch and on a stream."""
     lines = ev.selectExpr(
         "event_id",
+        *keep,
         f"""to_json(named_struct(
         'uid', CAST(user_id AS STRING),
         'time', CASE WHEN event_id % 50 = 7 THEN 'bad-time' ELSE concat({ISO_TEXT}, '+00:00') END,
@@ -88,6 +89,7 @@ def to_tracking_json(ev: DataFrame) -> DataFrame:
     )
     return lines.selectExpr(
         "event_id",
+        *keep,
         "CASE WHEN event_id % 97 = 0 THEN substr(js, 1, 20) ELSE js END AS value",
     )
 

@@ -238,12 +238,11 @@ def duration_text(spark, sf_dir):
     ),
 )
 def json_path(spark, sf_dir):
-    ev = inputs.events(spark, sf_dir)
-    lines = inputs.to_tracking_json(ev).join(
-        ev.select("event_id", fn.json_path(F.col("props"), "$.k").alias("k")), "event_id"
-    )
+    lines = inputs.to_tracking_json(inputs.events(spark, sf_dir), keep=("props",))
     return lines.select(
-        "event_id", "k", fn.json_path(F.col("value"), "$.event.course_id").alias("course_id")
+        "event_id",
+        fn.json_path(F.col("props"), "$.k").alias("k"),
+        fn.json_path(F.col("value"), "$.event.course_id").alias("course_id"),
     )
 
 

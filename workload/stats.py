@@ -71,6 +71,30 @@ def approx_distinct_by_dims(spark, sf_dir):
     )
 
 
+@query(
+    "approx_distinct_error",
+    sql(
+        """SELECT platform, 'near' AS estimate FROM tracking GROUP BY platform
+UNION ALL SELECT host, 'near' FROM tracking GROUP BY host""",
+        "tracking",
+    ),
+)
+def approx_distinct_error(spark, sf_dir):
+    """Per group, whether the estimate is within four standard errors of the exact count."""
+    rows = inputs.tracking(spark, sf_dir)
+    counts = [
+        statistics(rows, spec(["L2", "L1"], [f"user_id:{method}"])).select(
+            F.coalesce("platform", "host").alias("platform"), F.col("value").alias(method)
+        )
+        for method in ("countDistinct", "approxCountDistinct")
+    ]
+    limit = 4 * spec(["L1"]).rsd * F.col("countDistinct")
+    near = F.abs(F.col("countDistinct") - F.col("approxCountDistinct")) <= limit
+    return counts[0].join(counts[1], "platform").select(
+        "platform", F.when(near, "near").otherwise("far").alias("estimate")
+    )
+
+
 @query(
     "count_global",
     sql(stat_sql("tracking", [("NONE", "NONE", [])], [], "activity", "visits"), "tracking"),
@@ -312,14 +336,10 @@ _SAMPLE = """(SELECT t.*, CAST(e.user_id AS VARCHAR) AS uid, t.time_minute_1_sta
 )
 def kpi_xml_sample(spark, sf_dir):
     """New accounts with a usable id: filter, platform, time and device steps, then counts."""
-    paths = {
-        name: f"get_json_object(value, '$.{path}') AS {name}"
-        for name, path in (
-            ("time", "time"), ("uid", "uid"), ("uuid", "uuid"), ("event_uid", "event.uid"),
-            ("event_type", "event_type"), ("agent", "agent"), ("origin_referer", "origin_referer"),
-            ("spam", "spam"),
-        )
-    }
+    fields = (
+        "time string, uid string, uuid string, event struct<uid string>, event_type string, "
+        "agent string, origin_referer string, spam string"
+    )
     plugin = {"type": "enhance", "method": "plugin"}
     stat = StatSpec(
         LABELS,
@@ -338,10 +358,12 @@ def kpi_xml_sample(spark, sf_dir):
                     "id": 1,
                     "prepares": [
                         {"id": 1, "type": "filter", "method": "spark-sql",
-                         "select": ["event_id", *paths.values()]},
-                        {"id": 2, "type": "filter", "method": "spark-sql",
-                         "where": "substr(event_uid, 1, 1) <> '!' AND event_uid <> '' "
+                         "select": ["event_id", f"inline(array(from_json(value, '{fields}')))"],
+                         "where": "substr(event.uid, 1, 1) <> '!' AND event.uid <> '' "
                          "AND event_type IN ('account.created')"},
+                        {"id": 2, "type": "filter", "method": "spark-sql",
+                         "select": ["event_id", "time", "uid", "uuid", "event_type", "agent",
+                                    "origin_referer", "spam"]},
                         {"id": 3, **plugin,
                          "fn": lambda df: op.rename_replace(
                              df, "agent", "platform",
