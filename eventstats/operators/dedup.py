@@ -6,7 +6,7 @@ the flags return to the rows by a join on row identity, which spreads a hot key
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from eventstats.functions import BUCKET_WIDTHS, bucket_label
 from eventstats.operators.lookups import salted_join
 
-_FIRST, _BUCKET = "_first", "_bucket"
+_FIRST, _BUCKET, _PLACE = "_first", "_bucket", "_place"
 
 
 def flag_name(keys: Sequence[str], interval: str) -> str:
@@ -31,14 +31,14 @@ def flag_duplicates(
     """Add one flag per interval: 0 on the first row of (keys, bucket), 1 on later rows.
 
     Rows are ordered by time, then by ``tiebreak``, which together with key and time must
-    identify a row. ``tiebreak=None`` is for rows without an id; ties then go to any one of
-    the tied rows. A row whose first key is blank cannot be a repeat: its flags are 0.
+    identify a row. ``tiebreak=None`` is for rows without an id: they are written to the shared
+    folder first, and ties go to any one of the tied rows. A row whose first key is blank cannot be a repeat: its flags are 0.
     """
     intervals = widest_last(intervals)
-    names = {i: flag_name(keys, i) for i in intervals}
     if tiebreak is None:
-        return _flag_without_ids(df, keys, intervals, names, time_col)
+        return _flag_without_ids(df, keys, intervals, time_col)
 
+    names = {i: flag_name(keys, i) for i in intervals}
     order = [time_col, *[c for c in tiebreak if c != time_col]]
     identity = list(dict.fromkeys([*keys, *order]))
     firsts = first_rows(df, keys, intervals, time_col, order)
@@ -140,31 +140,20 @@ def _same_bucket_as_before(time_col: str, interval: str, window) -> Column:
 
 
 def _flag_without_ids(
-    df: DataFrame,
-    keys: Sequence[str],
-    intervals: Sequence[str],
-    names: Mapping[str, str],
-    time_col: str,
+    df: DataFrame, keys: Sequence[str], intervals: Sequence[str], time_col: str
 ) -> DataFrame:
-    """Two rounds: first rows per (key, input task), then first rows among those.
+    """The rows are written once to the shared folder; their place there serves as their id.
 
-    A hot key is split by the task its rows came from, which holds for exact copies too.
-    Both branches read one shuffle of the input.
+    Computing an id on the fly would not do: a task that is run again may give it to another of
+    two tied rows, which then both count as first, or neither.
     """
-    blank = has_no_key(keys)
-    part = "_part"
-    local = Window.partitionBy(*keys, part).orderBy(time_col)
-    rows = df.withColumn(part, F.spark_partition_id())
-    rows = rows.withColumn("_later", _same_bucket_as_before(time_col, intervals[0], local))
-    candidate = (F.col("_later") == 0) & ~blank
-    final = Window.partitionBy(*keys).orderBy(time_col)
-    first = rows.filter(candidate).withColumns(
-        {names[i]: _same_bucket_as_before(time_col, i, final) for i in intervals}
-    )
-    rest = rows.filter(~candidate).withColumns(
-        {names[i]: F.when(blank, 0).otherwise(1) for i in intervals}
-    )
-    return first.unionByName(rest).drop(part, "_later")
+    from eventstats.streaming.scratch import shared_dir  # that package imports this module
+
+    path = shared_dir(df.sparkSession, "rows-without-ids")
+    df.write.parquet(path)
+    place = F.struct("_metadata.file_name", "_metadata.row_index").alias(_PLACE)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns, place)
+    return flag_duplicates(rows, keys, intervals, time_col, [_PLACE]).drop(_PLACE)
 
 
 def drop_seen_in_previous_batch(

@@ -6,7 +6,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from eventstats.operators import StatSpec, statistics
+from eventstats.operators import (
+    Dimension,
+    StatSpec,
+    flag_duplicates,
+    lookup_join,
+    statistics,
+)
 from eventstats.plans import Flow, metrics
 from eventstats.sinks import BatchTable, TallyTable
 from eventstats.sources import read_log_stream, spread
@@ -248,6 +254,55 @@ def stream_dedup_flags(spark, sf_dir):
     return out.read().groupBy(day, flag).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "dedup_flag_no_id",
+    sql(
+        """SELECT platform, substr(time, 1, 10) AS day, CAST(count(*) AS BIGINT) AS n,
+  CAST(count(DISTINCT CASE WHEN user_id <> '' THEN user_id END)
+    + count(CASE WHEN user_id = '' THEN 1 END) AS BIGINT) AS firsts
+FROM (SELECT 'all' AS platform, user_id, time FROM tracking) GROUP BY ALL""",
+        "tracking",
+    ),
+)
+def dedup_flag_no_id(spark, sf_dir):
+    """Daily flags of rows without ids: which tied row is first is open, the numbers are not."""
+    rows = inputs.tracking(spark, sf_dir).select(F.lit("all").alias("platform"), "user_id", "time")
+    flagged = flag_duplicates(rows, ["user_id"], ["daily"], tiebreak=None)
+    first = F.col("user_id_daily_duplicate_flag") == 0
+    return flagged.groupBy("platform", F.substring("time", 1, 10).alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(first).alias("firsts")
+    )
+
+
+@query(
+    "stream_lookup_refresh",
+    sql(
+        f"""SELECT event_id, CASE WHEN d.uuid IS NOT NULL
+  THEN concat('v', {_BATCH_SQL}, '-', coalesce(d.channel, 'none')) END AS channel
+FROM tracking t LEFT JOIN device_info d ON t.uuid = d.uuid""",
+        "tracking", "device_info",
+    ),
+)
+def stream_lookup_refresh(spark, sf_dir):
+    """The lookup table changes between micro-batches and outgrows its limit after the first.
+
+    A ``Dimension`` per batch reads the table as it is now and measures it anew: broadcast in
+    the first batch, a shuffle later.
+    """
+    out = BatchTable(spark, shared_dir(spark, "out"))
+
+    def on_batch(batch, batch_id):
+        version = inputs.device_info(spark, sf_dir).select(
+            "uuid", F.concat(F.lit(f"v{batch_id}-"), F.coalesce("channel", F.lit("none"))).alias("channel")
+        )
+        devices = Dimension(version, "uuid", ["channel"], broadcast_bytes=64 << 20 if batch_id == 0 else 0)
+        found = lookup_join(tracking_of(batch).select("event_id", "uuid"), devices, "uuid")
+        out.write_batch(found.select("event_id", "channel"), batch_id)
+
+    run_arrivals(spark, sf_dir, on_batch)
+    return out.read()
+
+
 @query(
     "stream_dedup_drop",
     sql(
