@@ -199,3 +199,26 @@ def test_rows_in_batches(spark):
     assert Counter(r["n"] for r in got) == Counter({5: 4, 2: 1, 3: 1})
     with pytest.raises(ValueError):
         apply_rows_in_batches(df, lambda f: f, "id bigint", 0)
+
+
+def test_step_sinks_and_output_hooks(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",)], "host string")
+    own = {"type": "compute", "method": "plugin", "fn": lambda d: d.groupBy("host").count()}
+    steps = [
+        {"id": 1, **own},
+        {"id": 2, **own, "output": lambda d: d.filter("count > 1")},
+        {"id": 3, **own, "enabled": False},
+    ]
+    got = {}
+
+    def sink(name):
+        def keep(rows, batch_id):
+            got[name] = sorted(map(tuple, rows.collect()))
+
+        return keep
+
+    flow = Flow({"sets": [{"id": 1, "computes": steps}]})
+    flow.on_batch({1: sink("set")}, {(1, 2): sink("step")})(df, 0)
+    assert got == {"set": [("a", 2), ("b", 1)], "step": [("a", 2)]}
+    flow.on_batch({}, {(1, 1): sink("one"), (1, 2): sink("two")})(df, 0)
+    assert got["one"] == [("a", 2), ("b", 1)] and got["two"] == [("a", 2)]
