@@ -3,9 +3,11 @@
 Every document of a source is taken target / size times on average: the whole part always, the
 rest as an inclusion probability. The flight phase moves the probabilities of three documents at a
 time along the null space of the two constraints, number of documents and number of words, until
-one of the three is in or out; it keeps both totals. It runs in blocks of a source; the two or
-fewer undecided documents of each block meet again in the next round, until one block is left,
-whose last documents land where the total of words is nearest to the target.
+one of the three is in or out; it keeps both totals. Documents that are long for their source are
+drawn first, and the chance of the others makes up the difference in words. Flight runs in blocks
+of a source; the two or fewer undecided documents of each block meet again in the next round. As
+soon as a source is one block, together with short documents kept back for it, its last documents
+land where the total of words is nearest to the target.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from eventstats.llm.common import WORDS, stored, text_or_empty
 BLOCK = 4096
 #: No source gives more than so many times its size.
 MAX_REPEATS = 3
+#: A document is long if it has more words than so many average ones and than a block's share.
+LONG = 4
 _EPS = 1e-9
 
 
@@ -58,7 +62,7 @@ def source_targets(rows: DataFrame, repeats: int = MAX_REPEATS) -> DataFrame:
 def flight(sizes: list[int], chances: list[float], seed: str) -> list[float]:
     """Move chances to 0 or 1 in threes; at most two stay between. Both totals are kept.
 
-    With sizes in falling order what stays is mostly small, and so is the error of landing.
+    A document much longer than the others hardly moves and stays; see ``draw_long``.
     """
     chances = list(chances)
     waiting: list[int] = []
@@ -89,6 +93,35 @@ def flight(sizes: list[int], chances: list[float], seed: str) -> list[float]:
     return chances
 
 
+def draw_long(sizes: list[int], chances: list[float], short: int, rate: float, seed: str) -> list[float]:
+    """Decide all long documents of a source, of whose other words, ``short``, it takes the ``rate``.
+
+    Flight leaves two at most, which move against each other; the last one is drawn if the others
+    can make up for either outcome, else it goes where they come nearest to it.
+    """
+    chances = flight(sizes, chances, seed)
+    rest = [i for i, p in enumerate(chances) if 0 < p < 1]
+    draw = zlib.crc32(f"{seed}:long".encode()) / 2**32
+    if len(rest) == 2:
+        a, b = rest
+        up = min((1 - chances[a]) * sizes[a], chances[b] * sizes[b])
+        down = min(chances[a] * sizes[a], (1 - chances[b]) * sizes[b])
+        by = up if draw * (up + down) < down else -down
+        chances[a] += by / sizes[a]
+        chances[b] -= by / sizes[b]
+        draw = zlib.crc32(f"{seed}:last".encode()) / 2**32
+    for i in rest:
+        if chances[i] < _EPS or chances[i] > 1 - _EPS:
+            chances[i] = float(round(chances[i]))
+            continue
+        more, less = (1 - chances[i]) * sizes[i], chances[i] * sizes[i]
+        lacks = max(0.0, more - rate * short), max(0.0, less - (1 - rate) * short)
+        taken = draw < chances[i] if lacks[0] == lacks[1] else lacks[0] < lacks[1]
+        rate = min(1.0, max(0.0, rate - (more if taken else -less) / short)) if short else rate
+        chances[i] = float(taken)
+    return chances
+
+
 def land(sizes: list[int], wanted: list[float], chances: list[float]) -> list[float]:
     """Decide the last undecided ones so that the words taken are nearest to the expected.
 
@@ -136,11 +169,20 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     columns = units.columns
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in units.schema)
 
-    def round_of(undecided: DataFrame, blocks: Column, last: bool, number: int) -> DataFrame:
+    def draw(part: pa.Table) -> pa.Table:
+        part = part.sort_by([("size", "descending"), ("doc_id", "ascending")])
+        sizes, chances = part["size"].to_pylist(), part["chance"].to_pylist()
+        short = part["source_size"][0].as_py() - sum(sizes)
+        moved = draw_long(sizes, chances, short, chances[0], f"long:{part['source'][0].as_py()}:{part['doc_id'][0].as_py()}")
+        return part.set_column(part.schema.get_field_index("chance"), "chance", pa.array(moved, pa.float64()))
+
+    def round_of(undecided: DataFrame, blocks: Column, number: int) -> DataFrame:
         spread = undecided.withColumn("_block", F.pmod(F.xxhash64("doc_id", "size", F.lit(number)), blocks))
+        spread = spread.withColumn("_last", blocks == 1)
 
         def balance(part: pa.Table) -> pa.Table:
-            part = part.drop_columns("_block").sort_by([("size", "descending"), ("doc_id", "ascending")])
+            last = part["_last"][0].as_py()
+            part = part.drop_columns(["_block", "_last"]).sort_by([("size", "descending"), ("doc_id", "ascending")])
             sizes, chances = part["size"].to_pylist(), part["chance"].to_pylist()
             moved = flight(sizes, chances, f"{number}:{part['source'][0].as_py()}:{part['doc_id'][0].as_py()}")
             moved = land(sizes, chances, moved) if last else moved
@@ -149,19 +191,35 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
 
         return stored(spread.groupBy("source", "_block").applyInArrow(balance, kinds), "flight")
 
-    decided = [stored(units, "units")]
-    undecided, number = decided[0].filter("chance > 0"), 0
-    decided[0] = decided[0].filter("chance = 0")
+    # At most a block of long documents in a source; the chance of its others makes up for their draw.
+    is_long = ((F.col("chance") > 0) & (F.col("size") * block > F.col("source_size"))
+               & (F.col("size") * F.col("documents") > LONG * F.col("source_size")))
+    units = stored(units, "units")
+    long = stored(units.filter(is_long).groupBy("source").applyInArrow(draw, kinds), "long")
+    shift = long.groupBy(F.col("source").alias("_s")).agg(
+        F.sum(F.col("size") * F.col("chance")).alias("_taken"), F.sum("size").alias("_words"))
+    level = F.col("chance") + (F.col("chance") * F.col("_words") - F.col("_taken")) / F.greatest(
+        F.col("source_size") - F.col("_words"), F.lit(1))
+    level = F.when(level < _EPS, 0.0).when(level > 1 - _EPS, 1.0).otherwise(level)
+    others = units.filter(~is_long).join(shift, F.col("source").eqNullSafe(F.col("_s")), "left")
+    others = others.withColumn("chance", F.when((F.col("chance") > 0) & F.col("_s").isNotNull(), level).otherwise(F.col("chance")))
+    others = stored(others.select(*columns), "others")
+    open_ = (F.col("chance") > 0) & (F.col("chance") < 1)
+    decided = [long, others.filter(~open_)]
+    undecided, number = others.filter(open_), 0
+    # About half a block of short documents of every source waits for the round in which it lands.
+    waits = (F.col("size") * F.col("documents") <= F.col("source_size")) & (
+        F.pmod(F.xxhash64("doc_id", "size", F.lit("waits")), F.col("documents")) < block // 2)
     while True:
         # A source with n documents fills n / block blocks; each leaves two documents at most.
         left = F.ceil(F.col("documents") * F.lit((2 / block) ** number))
         blocks = F.greatest(F.lit(1), F.ceil(left / block))
-        last = most * (2 / block) ** number <= block
-        moved = round_of(undecided, blocks, last, number)
-        decided.append(moved.filter("chance = 0 or chance = 1"))
-        if last:
+        flies = (blocks == 1) | ~waits
+        moved = round_of(undecided.filter(flies), blocks, number)
+        decided.append(moved.filter(~open_))
+        if most * (2 / block) ** number <= block:
             break
-        undecided, number = moved.filter("chance > 0 and chance < 1"), number + 1
+        undecided, number = moved.filter(open_).unionByName(undecided.filter(~flies)), number + 1
     out = decided[0]
     for more in decided[1:]:
         out = out.unionByName(more)

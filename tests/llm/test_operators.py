@@ -116,6 +116,28 @@ def test_mix_reaches_targets(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_mix_lands_every_source(spark, seed):
+    rng = random.Random(seed)
+    sizes = [("big", rng.randint(20, 60)) for _ in range(1500)] + [("late", rng.randint(20, 60)) for _ in range(700)]
+    for source in ("big", "small", "tiny"):  # a fifth of the words in one document
+        n = {"big": 1500, "small": 150, "tiny": 60}[source]
+        sizes += [(source, rng.randint(20, 60)) for _ in range(0 if source == "big" else n)] + [(source, 10 * n)]
+    rows = [(i + 10_000 * seed, "w " * n, source) for i, (source, n) in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(df, block=200).toPandas()
+    assert len(out) == len(rows)
+    for _, part in out.groupby("source"):
+        assert abs((part["size"] * part["copies"]).sum() - part["target"].iloc[0]) <= 60
+
+
+def test_long_documents_keep_their_chance():
+    drawn = [mixing.draw_long([200], [0.3], 800, 0.3, str(i))[0] for i in range(2000)]
+    assert abs(np.mean(drawn) - 0.3) < 0.05
+    assert mixing.draw_long([600], [0.2], 400, 0.2, "x") == [0.0]  # the others could not make up for it
+    assert sum(mixing.draw_long([400, 400], [0.5, 0.5], 200, 0.5, "x")) == 1
+
+
 def test_targets_stop_at_the_limit(spark):
     df = spark.createDataFrame([("a", 100), ("b", 10), ("c", 10), (None, 5)], "source string, size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
