@@ -67,8 +67,8 @@ def set_hash(grams: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63)
 
 
-MAPPED = "key long, doc_id long, v long, n long, sets binary, counts binary, grams binary"
-SHARED = "doc_id long, v long, n long, gram long"
+MAPPED = "key long, doc_id long, mark long, v long, n long, sets binary, counts binary, grams binary"
+SHARED = "doc_id long, mark long, v long, n long, gram long"
 
 
 def _map_batches(blocks: int):
@@ -83,15 +83,15 @@ def _map_batches(blocks: int):
         for batch in batches:
             for at in range(0, len(batch), PACK):
                 part = batch.slice(at, PACK)
-                ids = part.column(0).to_pylist()
+                ids, marks = part.column(0).to_pylist(), part.column(2).to_pylist()
                 found = [shingle_set(t, hashes) for t in part.column(1).to_pylist()]
                 names = [set_hash(g) for g in found]
-                rows = [(-1 - (v % blocks), i, v, len(g), None, None, None) for i, v, g in zip(ids, names, found)]
+                rows = [(-1 - (v % blocks), i, m, v, len(g), None, None, None) for i, m, v, g in zip(ids, marks, names, found)]
                 distinct = {v: g for v, g in zip(names, found) if len(g)}
                 if distinct:
                     rows += _packed(distinct, blocks)
                 columns = zip(*rows)
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, types)], [f.split()[0] for f in MAPPED.split(", ")])
 
@@ -116,7 +116,7 @@ def _packed(distinct: dict[int, np.ndarray], blocks: int) -> list[tuple]:
     rows = []
     for a, b in zip(edges, edges[1:]):
         who, counts = np.unique(owner[a:b], return_counts=True)
-        rows.append((int(block[a]), None, None, None, sets[who].tobytes(), counts.astype(np.uint32).tobytes(), grams[a:b].tobytes()))
+        rows.append((int(block[a]), None, None, None, None, sets[who].tobytes(), counts.astype(np.uint32).tobytes(), grams[a:b].tobytes()))
     return rows
 
 
@@ -126,7 +126,7 @@ def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
 
 def _keep_shared(part: pa.Table) -> pa.Table:
     """The entries of one block whose column has two sets; rows of documents pass through."""
-    docs = part.filter(pc.is_valid(part["v"])).select(["doc_id", "v", "n"])
+    docs = part.filter(pc.is_valid(part["v"])).select(["doc_id", "mark", "v", "n"])
     sets = np.repeat(_joined(part["sets"], np.int64), _joined(part["counts"], np.uint32))
     grams = _joined(part["grams"], np.uint64)
     if part["key"][0].as_py() >= 0:
@@ -140,7 +140,7 @@ def _keep_shared(part: pa.Table) -> pa.Table:
         shared = np.repeat(sizes, sizes) >= 2
         sets, grams = sets[shared], grams[shared]
     empty = pa.nulls(len(grams), pa.int64())
-    entries = pa.table({"doc_id": empty, "v": sets, "n": empty, "gram": grams.view(np.int64)})
+    entries = pa.table({"doc_id": empty, "mark": empty, "v": sets, "n": empty, "gram": grams.view(np.int64)})
     return pa.concat_tables([docs.append_column("gram", pa.nulls(len(docs), pa.int64())), entries])
 
 
@@ -237,21 +237,14 @@ def set_links(shared: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Dat
     return tiles.groupBy("t1", "t2", "t3").applyInArrow(lambda part: tile_links(part, percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, set_id, component_id`` for every row of ``docs``.
-
-    Words are runs without ASCII white space, with A-Z in lower case; a shingle is five words,
-    or all words of a shorter text. Two rows link when 100 times the size of the intersection of
-    their sets is at least ``percent`` times that of the union. ``component_id`` is the smallest id
-    reachable by links. Null texts and texts without words link with nothing and are their own
-    component. Repeated rows and equal sets are linked; a null id is in its component but never
-    names it, unless no other id is there. Other columns are not read; no rows give no rows.
-    """
+def _marked(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """``near_duplicates`` with ``mark``, the hash of the text, for every row."""
     spark = docs.sparkSession
     blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    mapped = docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(_map_batches(blocks), MAPPED)
+    given = docs.select(F.col(doc_id).cast("long"), F.col(text), F.xxhash64(text))
+    mapped = given.mapInArrow(_map_batches(blocks), MAPPED)
     found = stored(mapped.groupBy("key").applyInArrow(_keep_shared, SHARED), "shared-columns")
-    rows = found.filter("gram is null").select("doc_id", "v", "n")
+    rows = found.filter("gram is null").select("doc_id", "mark", "v", "n")
     sets = stored(rows.groupBy("v").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_id")), "sets")
     links = set_links(found.filter("gram is not null").select("v", "gram"), sets.select("v", "n"), percent)
     linked = components(links)
@@ -261,19 +254,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = stored(joined.join(smallest, "root").select(F.col("v").alias("set_id"), "component"), "components")
     out = rows.join(named, F.col("v") == F.col("set_id"))
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "set_id", own.alias("component_id"))
+    return out.select("doc_id", "mark", F.col("n").alias("n_shingles"), "set_id", own.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, set_id, component_id`` for every row of ``docs``.
+
+    Words are runs without ASCII white space, with A-Z in lower case; a shingle is five words,
+    or all words of a shorter text. Two rows link when 100 times the size of the intersection of
+    their sets is at least ``percent`` times that of the union. ``component_id`` is the smallest id
+    reachable by links. Null texts and texts without words link with nothing and are their own
+    component. Repeated rows and equal sets are linked; a null id is in its component but never
+    names it, unless no other id is there. Other columns are not read; no rows give no rows.
+    """
+    return _marked(docs, doc_id, text, percent).drop("mark")
 
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One document of each component stays, the one with the smallest id, with all its columns.
 
-    Rows that share an id are one document. Documents without words stay, and so do components
-    in which no row has an id. Only ids decide; each text is shuffled once, by its id.
+    Each text is judged by its own component: of a repeated or null id only the texts that stay
+    there are kept; rows of a component that share its id are one document. Documents without words
+    stay, and so do components in which no row has an id. Only ids and hashes of texts decide; each
+    text is shuffled once, by both.
     """
-    found = near_duplicates(docs, doc_id, text, percent)
+    found = _marked(docs, doc_id, text, percent)
     stays = (F.col("n_shingles") == 0) | F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))
-    kept = stored(found.filter(stays).select(F.col("doc_id").alias("_kept_id")).distinct(), "kept-ids")
+    kept = found.filter(stays).select(F.col("doc_id").alias("_kept_id"), F.col("mark").alias("_kept_mark"))
+    kept = stored(kept.distinct(), "kept-texts")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    marked = docs.select(row.alias("_row"), F.col(doc_id).cast("long").alias("_id"))
-    same = F.col("_id").eqNullSafe(F.col("_kept_id"))
+    marked = docs.select(row.alias("_row"), F.col(doc_id).cast("long").alias("_id"), F.xxhash64(text).alias("_mark"))
+    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_mark") == F.col("_kept_mark"))
     return marked.join(kept.hint("shuffle_hash"), same, "left_semi").select("_row.*")

@@ -98,6 +98,15 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_near_copies_of_null_and_repeated_ids(spark):
+    first, second, third = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, first), (None, first + " more"), (None, ""), (None, third), (None, None),
+            (2, first + " end"), (2, second), (3, second + " end"), (3, second + " end")]
+    out = drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = [(1, first), (None, ""), (None, third), (None, None), (2, second)]
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, kept))
+
+
 def test_mix_reaches_targets(spark):
     rng = random.Random(2)
     rows = [(i, "w " * rng.randint(0, 60), rng.choice(["a", "b", "b", None, "c"])) for i in range(3000)]
