@@ -156,8 +156,11 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     source of its own. Repeated rows are drawn separately. Draws depend only on the rows, so
     reruns agree. An empty table gives no rows; sources without words have target 0.
     """
-    rows = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-                              word_count(text).alias("size")), "sizes")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(text).alias("size"))
+    # Equal rows are numbered, so that they go to different blocks; which is which makes no difference.
+    rows = rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("_n")).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    rows = stored(rows.drop("_n"), "sizes")
     targets = stored(source_targets(rows, repeats), "targets")
     t = targets.select(F.col("source").alias("_s"), "source_size", "documents", "target")
     units = rows.join(t, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
@@ -170,21 +173,21 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in units.schema)
 
     def draw(part: pa.Table) -> pa.Table:
-        part = part.sort_by([("size", "descending"), ("doc_id", "ascending")])
+        part = part.sort_by([("size", "descending"), ("doc_id", "ascending"), ("copy", "ascending")])
         sizes, chances = part["size"].to_pylist(), part["chance"].to_pylist()
         short = part["source_size"][0].as_py() - sum(sizes)
         moved = draw_long(sizes, chances, short, chances[0], f"long:{part['source'][0].as_py()}:{part['doc_id'][0].as_py()}")
         return part.set_column(part.schema.get_field_index("chance"), "chance", pa.array(moved, pa.float64()))
 
     def round_of(undecided: DataFrame, blocks: Column, number: int) -> DataFrame:
-        spread = undecided.withColumn("_block", F.pmod(F.xxhash64("doc_id", "size", F.lit(number)), blocks))
+        spread = undecided.withColumn("_block", F.pmod(F.xxhash64("doc_id", "size", "copy", F.lit(number)), blocks))
         spread = spread.withColumn("_last", blocks == 1)
 
         def balance(part: pa.Table) -> pa.Table:
             last = part["_last"][0].as_py()
-            part = part.drop_columns(["_block", "_last"]).sort_by([("size", "descending"), ("doc_id", "ascending")])
+            part = part.drop_columns(["_block", "_last"]).sort_by([("size", "descending"), ("doc_id", "ascending"), ("copy", "ascending")])
             sizes, chances = part["size"].to_pylist(), part["chance"].to_pylist()
-            moved = flight(sizes, chances, f"{number}:{part['source'][0].as_py()}:{part['doc_id'][0].as_py()}")
+            moved = flight(sizes, chances, f"{number}:{part['source'][0].as_py()}:{part['doc_id'][0].as_py()}:{part['copy'][0].as_py()}")
             moved = land(sizes, chances, moved) if last else moved
             place = part.schema.get_field_index("chance")
             return part.set_column(place, "chance", pa.array(moved, pa.float64()))
@@ -209,7 +212,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     undecided, number = others.filter(open_), 0
     # About half a block of short documents of every source waits for the round in which it lands.
     waits = (F.col("size") * F.col("documents") <= F.col("source_size")) & (
-        F.pmod(F.xxhash64("doc_id", "size", F.lit("waits")), F.col("documents")) < block // 2)
+        F.pmod(F.xxhash64("doc_id", "size", "copy", F.lit("waits")), F.col("documents")) < block // 2)
     while True:
         # A source with n documents fills n / block blocks; each leaves two documents at most.
         left = F.ceil(F.col("documents") * F.lit((2 / block) ** number))

@@ -1,7 +1,7 @@
 """N-gram Jaccard join as a blocked sparse matrix product (operator 5).
 
 The matrix has a row for every distinct set of shingles and a column for every shingle. Columns are
-dealt to blocks by hash; a block keeps the entries of columns that two sets or more have, so a set
+dealt by hash to as many blocks as a count of words asks for; a block keeps the entries of columns that two sets or more have, so a set
 of which too few shingles are shared drops out before anything is multiplied. Of what is left, the
 rarest shingles that a link cannot do without join sets to clusters, and the product is computed
 tile by tile within clusters: overlap counts are accumulated over shared shingles, pairs below
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventstats.llm.common import stored
+from eventstats.llm.common import WORDS, stored, text_or_empty
 from eventstats.llm.components import components
 
 #: Words in a shingle, and the least similarity in hundredths.
@@ -32,6 +32,8 @@ PERCENT = 75
 #: Sets and shingles that one side of a tile holds, about.
 TILE_SETS = 2048
 TILE_SHINGLES = 1 << 20
+#: Entries that a block of columns holds, about.
+BLOCK_ENTRIES = 1 << 22
 #: Documents of a map batch that are packed together, and entries of the cache of word hashes.
 PACK = 500
 CACHE_WORDS = 500_000
@@ -86,10 +88,12 @@ def _map_batches(blocks: int):
                 ids, marks = part.column(0).to_pylist(), part.column(2).to_pylist()
                 found = [shingle_set(t, hashes) for t in part.column(1).to_pylist()]
                 names = [set_hash(g) for g in found]
-                rows = [(-1 - (v % blocks), i, m, v, len(g), None, None, None) for i, m, v, g in zip(ids, marks, names, found)]
+                first = names[0] % blocks  # rows of copies go to any block, not to one
+                rows = [(-1 - (first + j) % blocks, i, m, v, len(g), None, None, None)
+                        for j, (i, m, v, g) in enumerate(zip(ids, marks, names, found))]
                 distinct = {v: g for v, g in zip(names, found) if len(g)}
                 if distinct:
-                    rows += _packed(distinct, blocks)
+                    rows += _packed(distinct, blocks, first)
                 columns = zip(*rows)
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -98,7 +102,7 @@ def _map_batches(blocks: int):
     return run
 
 
-def _packed(distinct: dict[int, np.ndarray], blocks: int) -> list[tuple]:
+def _packed(distinct: dict[int, np.ndarray], blocks: int, first: int) -> list[tuple]:
     sets = np.array(list(distinct), np.int64)
     grams = np.concatenate(list(distinct.values()))
     owner = np.repeat(np.arange(len(sets)), [len(g) for g in distinct.values()])
@@ -109,7 +113,7 @@ def _packed(distinct: dict[int, np.ndarray], blocks: int) -> list[tuple]:
     known = np.zeros(len(grams), bool)
     known[order[place >= 2]] = True
     block = ((grams >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
-    block[known] = -1 - owner[known] % blocks
+    block[known] = -1 - (first + owner[known]) % blocks
     order = np.lexsort((owner, block))
     block, owner, grams = block[order], owner[order], grams[order]
     edges = np.flatnonzero(np.append(True, block[1:] != block[:-1])).tolist() + [len(block)]
@@ -237,10 +241,16 @@ def set_links(shared: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Dat
     return tiles.groupBy("t1", "t2", "t3").applyInArrow(lambda part: tile_links(part, percent), "a long, b long")
 
 
+def column_blocks(docs: DataFrame, text: str, least: int) -> int:
+    """Blocks of columns, by the number of words: a text has no more shingles than words."""
+    words = docs.select(F.sum(F.regexp_count(text_or_empty(text), F.lit(WORDS)))).first()[0] or 0
+    return max(least, -(-words // BLOCK_ENTRIES))
+
+
 def _marked(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     """``near_duplicates`` with ``mark``, the hash of the text, for every row."""
     spark = docs.sparkSession
-    blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = column_blocks(docs, text, int(spark.conf.get("spark.sql.shuffle.partitions")))
     given = docs.select(F.col(doc_id).cast("long"), F.col(text), F.xxhash64(text))
     mapped = given.mapInArrow(_map_batches(blocks), MAPPED)
     found = stored(mapped.groupBy("key").applyInArrow(_keep_shared, SHARED), "shared-columns")

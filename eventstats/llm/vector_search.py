@@ -27,6 +27,8 @@ PIVOTS = 16
 SAMPLE = 2000
 #: Vectors that a cell should hold; cells are split further where distances repeat.
 CELL_ROWS = 4096
+#: Queries that one task sends to a part of a cell, about.
+ASKED_ROWS = 8192
 #: Slack for rounding in distances, as a share of the largest length.
 SLACK = 1e-9
 
@@ -143,11 +145,14 @@ def _top_k(vectors: DataFrame, queries: DataFrame, k: int, pivots: int, cell_row
 
     def visit(pairs: DataFrame) -> DataFrame:
         """The k best of each (query, cell) pair, as ``query_id, vec_id, score``."""
-        sent = pairs.join(asked, "query_id").join(parts, ["pivot", "annulus"]).withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-            "pivot", "annulus", "part", "query_id", "q")
-        cell = ["pivot", "annulus", "part"]
-        return index.groupBy(*cell).cogroup(sent.groupBy(*cell)).applyInArrow(
+        turns = F.ceil(F.count("*") / ASKED_ROWS).cast("int")
+        asks = F.broadcast(pairs.groupBy("pivot", "annulus").agg(turns.alias("turns")))  # 64 cells a pivot at most
+        sent = pairs.join(asked, "query_id").join(parts, ["pivot", "annulus"]).join(asks, ["pivot", "annulus"])
+        sent = sent.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+            "pivot", "annulus", "part", F.pmod(F.xxhash64("query_id"), F.col("turns")).cast("int").alias("turn"), "query_id", "q")
+        cell = ["pivot", "annulus", "part", "turn"]
+        met = index.join(asks, ["pivot", "annulus"]).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
+        return met.select(*cell, "vec_id", "v").groupBy(*cell).cogroup(sent.groupBy(*cell)).applyInArrow(
             lambda left, right: _score(left, right, k), "query_id long, vec_id long, score long")
 
     def best(rows: DataFrame) -> DataFrame:

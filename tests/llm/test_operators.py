@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import check
 import corpus_pipeline
-from eventstats.llm import language, mixing, toxicity, vector_search, warc
+from eventstats.llm import language, mixing, ngram_join, toxicity, vector_search, warc
 from eventstats.llm.chat import chain_messages, format_trees, loss_text, parse_turns
 from eventstats.llm.exact_dedup import DigestIndex, drop_copies, exact_dedup
 from eventstats.llm.ngram_join import _WordHashes, drop_near_copies, near_duplicates, shingle_set
@@ -147,6 +147,39 @@ def test_long_documents_keep_their_chance():
     assert sum(mixing.draw_long([400, 400], [0.5, 0.5], 200, 0.5, "x")) == 1
 
 
+def test_groups_of_one_task_stay_small(spark, monkeypatch):
+    flight, score = mixing.flight, vector_search._score
+
+    def small_flight(sizes, chances, seed):
+        assert len(sizes) <= 400
+        return flight(sizes, chances, seed)
+
+    def small_score(left, right, k):
+        assert right.num_rows <= 40
+        return score(left, right, k)
+
+    monkeypatch.setattr(mixing, "flight", small_flight)
+    rows = [(7, "w " * 40, "a")] * 1000 + [(i, "w " * (i % 50), "a" if i % 2 else "b") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(df, block=200).toPandas()
+    assert len(out) == 2000
+    for _, part in out.groupby("source"):
+        assert abs((part["size"] * part["copies"]).sum() - part["target"].iloc[0]) <= 60
+    monkeypatch.setattr(vector_search, "_score", small_score)
+    monkeypatch.setattr(vector_search, "ASKED_ROWS", 20, raising=False)
+    q = spark.range(300).selectExpr("id AS vec_id", "array(id % 7, id % 11) AS v")
+    assert vector_search.top_k(q, q, k=3, pivots=2).count() == 900
+    monkeypatch.setattr(ngram_join, "BLOCK_ENTRIES", 50, raising=False)
+    text = " ".join(f"x{i}" for i in range(30))
+    docs = spark.createDataFrame([(i, text if i % 2 else f"{text} {i // 4}") for i in range(200)], "doc_id long, text string")
+    blocks = ngram_join.column_blocks(docs, "text", 8)
+    assert blocks == 122
+    mapped = docs.select("doc_id", "text", F.xxhash64("text")).coalesce(1).mapInArrow(ngram_join._map_batches(blocks), ngram_join.MAPPED)
+    sizes = mapped.groupBy("key").agg(F.sum(F.coalesce(F.octet_length("grams") / 8, F.lit(1)))).toPandas()
+    assert sizes.iloc[:, 1].max() <= 60
+    assert near_duplicates(docs).filter("component_id = 0").count() == 200
+
+
 def test_targets_stop_at_the_limit(spark):
     df = spark.createDataFrame([("a", 100), ("b", 10), ("c", 10), (None, 5)], "source string, size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
