@@ -44,3 +44,12 @@ def text_or_empty(name: str = "text") -> Column:
 def fold_of(doc_id: Column, folds: int) -> Column:
     """CRC-32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the CRC-32 of a text of ASCII characters."""
+    start, table = 4294967295, "xor(x >> 1, 3988292384 * (x & 1))"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: CAST(ascii(({text})[i]) AS BIGINT))"
+    bits = "CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])"
+    byte = f"list_reduce({bits}, lambda x, y: {table}, xor(c, b))"
+    return f"xor(list_reduce({codes}, lambda c, b: {byte}, CAST({start} AS BIGINT)), {start})"

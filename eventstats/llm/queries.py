@@ -7,6 +7,7 @@ from eventstats.llm import (  # noqa: F401
     queries_data,
     queries_models,
     queries_near,
+    queries_repair,
     queries_repeats,
     queries_tokens,
 )
