@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import base64
 import heapq
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -27,12 +29,15 @@ CHUNK = 32 << 10
 OVERLAP = 1 << 10
 #: A boundary this near to the end of a cut text may be moved by what follows.
 LOOKAHEAD = 3
-#: Entries of a task's cache of encoded pre-tokens, and the longest pre-token it keeps.
-CACHE_ENTRIES = 100_000
+#: Entries of each of the two generations of a worker's cache of encoded pre-tokens, and the longest
+#: pre-token it keeps.
+CACHE_ENTRIES = 160_000
 CACHE_CHARS = 64
+#: Up to so many bytes a scan for the lowest rank is faster than a heap.
+SCAN_BYTES = 48
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def load_ranks(path: str) -> dict[bytes, int]:
     """The ranks of a .tiktoken file, present on every machine at the same path."""
     with open(path, "rb") as lines:
@@ -48,6 +53,8 @@ def encode_pretoken(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Merge adjacent parts, lowest rank first and leftmost among equals, until none can be."""
     if data in ranks:
         return [ranks[data]]
+    if len(data) <= SCAN_BYTES:
+        return _encode_by_scan(data, ranks)
     end = len(data)
     after = list(range(1, end + 1))  # where the part that begins here ends
     before = list(range(-1, end - 1))
@@ -74,27 +81,71 @@ def encode_pretoken(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _little_endian(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+def _encode_by_scan(data: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges for short data; ``pairs`` holds the rank of each two neighbours."""
+    none = len(ranks) + (1 << 30)
+    parts = [data[i : i + 1] for i in range(len(data))]
+    pairs = [ranks.get(data[i : i + 2], none) for i in range(len(data) - 1)]
+    while pairs and (lowest := min(pairs)) < none:
+        i = pairs.index(lowest)
+        parts[i] += parts.pop(i + 1)
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
+        if i:
+            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+    return [ranks[p] for p in parts]
+
+
 class PretokenCache(dict):
-    """Pre-token to ids as little-endian 32-bit bytes; bounded, so memory is too."""
+    """Pre-token to ids as little-endian 32-bit bytes, in two generations, so memory is bounded.
+
+    A full generation becomes the old one, and the old one goes; what is met again in the old one
+    moves to the new one, so frequent pre-tokens stay.
+    """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         super().__init__()
         self.ranks = ranks
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        out = np.array(encode_pretoken(piece.encode(), self.ranks), "<u4").tobytes()
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[piece] = out
+        out = self.old.get(piece)
+        if out is None:
+            out = _little_endian(encode_pretoken(piece.encode(), self.ranks))
+            if len(piece) > CACHE_CHARS:
+                return out
+        if len(self) >= CACHE_ENTRIES:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = out
         return out
 
 
+@lru_cache(maxsize=1)
+def pretoken_cache(vocabulary: str) -> PretokenCache:
+    """The cache of a worker; later tasks of the same vocabulary go on with it."""
+    return PretokenCache(load_ranks(vocabulary))
+
+
 def _encoder(vocabulary: str, pattern: str) -> Callable[[str], bytes]:
-    cache, find = PretokenCache(load_ranks(vocabulary)), compiled(pattern).findall
+    cache, find = pretoken_cache(vocabulary), compiled(pattern).findall
     return lambda text: b"".join(map(cache.__getitem__, find(text)))
 
 
+@lru_cache(maxsize=1)
+def load_bytes(path: str) -> dict[int, bytes]:
+    """The bytes of each id of a .tiktoken file."""
+    return {i: b for b, i in load_ranks(path).items()}
+
+
 def decode_ids(ids: bytes, table: dict[int, bytes]) -> bytes:
     return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -107,7 +158,7 @@ def _encode_rows(vocabulary: str, pattern: str, decoded: bool, rows: int = 256):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(vocabulary, pattern)
-        table = {i: b for b, i in load_ranks(vocabulary).items()} if decoded else {}
+        table = load_bytes(vocabulary) if decoded else {}
         for batch in batches:
             for at in range(0, len(batch), rows):
                 part = batch.slice(at, rows)
@@ -214,7 +265,7 @@ def decode_documents(encoded: DataFrame, vocabulary: str, rows: int = 256) -> Da
     names = [c for c in encoded.columns if c != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {i: b for b, i in load_ranks(vocabulary).items()}
+        table = load_bytes(vocabulary)
         for batch in batches:
             for at in range(0, len(batch), rows):
                 part = batch.slice(at, rows)
