@@ -23,16 +23,48 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """The frame written to the shared folder as Parquet and read again.
 
     This cuts the lineage: rows are computed once, and a lost executor takes none of them along.
+    ``by`` is a column that partitions the folder, for later reads of some of its values.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """Inner join of ``rows`` with one row for each value of ``key``, which tells the ``size`` of its group.
+
+    Groups with more rows than a fourth of a shuffle partition's share are split off: there are at
+    most four times as many as shuffle partitions, so they are broadcast, and their rows stay where
+    they are. The others are shuffled by the key. Both frames should be stored: they are read twice.
+    """
+    spark = rows.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = max(rows.count() // (4 * width), 1)
+    heavy = groups.filter(F.col(size) > least)
+    light = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(
+        groups.filter(F.col(size) <= least).hint("merge"), key)
+    return rows.join(F.broadcast(heavy), key).unionByName(light)
+
+
+_HELD: dict = {}
+
+
+def worker_state(key: tuple, make):
+    """What a Python worker keeps from task to task, for one operator at a time.
+
+    Workers outlive stages. What another operator left is dropped, so that the tables and caches of
+    the stages of a pipeline do not add up.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from eventstats.llm.common import table
-from eventstats.llm.exact_dedup import DigestIndex, exact_dedup
+from eventstats.llm.exact_dedup import BATCHES, DigestIndex, exact_dedup
 from eventstats.llm.registry import query
 from eventstats.llm.warc import read_archives, resolve_revisits, write_archives
 
@@ -44,6 +44,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 
 @query("op10_exact_dedup", DEDUP_ORACLE)
 def op10_exact_dedup(spark, sf_dir):
-    """All documents against a new index: who stays, in which group."""
+    """All documents through a new index, in ranges of ascending ids: who stays, in which group."""
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return exact_dedup(table(spark, sf_dir, "documents"), DigestIndex(spark, buckets=buckets))
+    docs = table(spark, sf_dir, "documents")
+    return exact_dedup(docs, DigestIndex(spark, buckets=buckets), batches=BATCHES)
