@@ -13,7 +13,7 @@ import base64
 import heapq
 import sys
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventstats.llm.common import stored
+from eventstats.llm.common import stored, worker_state
 
 #: Characters that a chunk advances by, and that it shares with the next one.
 CHUNK = 32 << 10
@@ -37,7 +37,6 @@ CACHE_CHARS = 64
 SCAN_BYTES = 48
 
 
-@lru_cache(maxsize=1)
 def load_ranks(path: str) -> dict[bytes, int]:
     """The ranks of a .tiktoken file, present on every machine at the same path."""
     with open(path, "rb") as lines:
@@ -129,25 +128,28 @@ class PretokenCache(dict):
         return out
 
 
-@lru_cache(maxsize=1)
-def pretoken_cache(vocabulary: str) -> PretokenCache:
-    """The cache of a worker; later tasks of the same vocabulary go on with it."""
-    return PretokenCache(load_ranks(vocabulary))
+class _Encoder:
+    """What a worker needs of a vocabulary, kept from task to task."""
 
+    def __init__(self, vocabulary: str, pattern: str) -> None:
+        self.cache, self.find = PretokenCache(load_ranks(vocabulary)), compiled(pattern).findall
+        self._bytes: dict[int, bytes] | None = None
 
-def _encoder(vocabulary: str, pattern: str) -> Callable[[str], bytes]:
-    cache, find = pretoken_cache(vocabulary), compiled(pattern).findall
-    return lambda text: b"".join(map(cache.__getitem__, find(text)))
+    @property
+    def bytes(self) -> dict[int, bytes]:
+        if self._bytes is None:
+            self._bytes = {i: b for b, i in self.cache.ranks.items()}
+        return self._bytes
 
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.cache.__getitem__, self.find(text)))
 
-@lru_cache(maxsize=1)
-def load_bytes(path: str) -> dict[int, bytes]:
-    """The bytes of each id of a .tiktoken file."""
-    return {i: b for b, i in load_ranks(path).items()}
+    def decode(self, ids: bytes) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def decode_ids(ids: bytes, table: dict[int, bytes]) -> bytes:
-    return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+def _encoder(vocabulary: str, pattern: str = "") -> _Encoder:
+    return worker_state(("byte_bpe", vocabulary, pattern), lambda: _Encoder(vocabulary, pattern))
 
 
 def _encode_rows(vocabulary: str, pattern: str, decoded: bool, rows: int = 256):
@@ -157,16 +159,15 @@ def _encode_rows(vocabulary: str, pattern: str, decoded: bool, rows: int = 256):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(vocabulary, pattern)
-        table = load_bytes(vocabulary) if decoded else {}
+        encoder = _encoder(vocabulary, pattern)
         for batch in batches:
             for at in range(0, len(batch), rows):
                 part = batch.slice(at, rows)
-                ids = [encode(t or "") for t in part.columns[-1].to_pylist()]
+                ids = [encoder.encode(t or "") for t in part.columns[-1].to_pylist()]
                 columns = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
                 names = ["n_tokens", "ids"]
                 if decoded:
-                    columns.append(pa.array([decode_ids(x, table) for x in ids], pa.binary()))
+                    columns.append(pa.array(map(encoder.decode, ids), pa.binary()))
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], [*part.schema.names[:-1], *names])
 
@@ -210,11 +211,8 @@ def _pieces(long: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFram
     both = F.array_intersect(F.lag("tail").over(order), "head")
     cuts = found.select("key", "no", F.array_min(both).alias("cut"))
     cuts = cuts.groupBy("key").agg(
-        F.sort_array(F.collect_list(F.when(F.col("no") == 0, F.lit(0).cast("long")).otherwise(F.col("cut")))).alias("cuts"),
-        F.count("*").alias("chunks"))
-    # Where two chunks share no boundary, the whole text is one piece.
-    whole = F.size("cuts") < F.col("chunks")
-    cuts = cuts.select("key", F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(F.col("cuts")).alias("cuts"))
+        # Where two chunks share no boundary there is no cut, and their pieces are one.
+        F.sort_array(F.collect_set(F.when(F.col("no") == 0, F.lit(0).cast("long")).otherwise(F.col("cut")))).alias("cuts"))
     stops = F.concat(F.slice("cuts", 2, F.greatest(F.size("cuts") - 1, F.lit(0))), F.array(F.length("text").cast("long")))
     cut = long.join(cuts, "key").select("key", "text", F.posexplode(F.arrays_zip(F.col("cuts").alias("a"), stops.alias("b"))))
     a, b = F.col("col")["a"].cast("int"), F.col("col")["b"].cast("int")
@@ -265,12 +263,12 @@ def decode_documents(encoded: DataFrame, vocabulary: str, rows: int = 256) -> Da
     names = [c for c in encoded.columns if c != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = load_bytes(vocabulary)
+        encoder = _encoder(vocabulary)
         for batch in batches:
             for at in range(0, len(batch), rows):
                 part = batch.slice(at, rows)
                 ids = part.column(names.index("ids")).to_pylist()
-                texts = [x if x is None else decode_ids(x, table) for x in ids]
+                texts = [x if x is None else encoder.decode(x) for x in ids]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*names).schema)

@@ -3,7 +3,9 @@
 A word enters the network as an embedding of itself beside the mean embedding of its character
 n-grams (bytes, with marks at both ends). Two gated recurrent layers read a window of words in
 both directions, attention pools their states, and a text scores as its highest window; windows
-overlap and cover the whole text. Training is numpy only, on a bounded sample of labelled texts.
+overlap and cover the whole text. A window also sees how telling the second most telling word of its
+whole text is, because one such word occurs in clean texts by chance. Training is numpy only, on a
+bounded sample of labelled texts.
 Labels are of texts, so a window of a toxic text counts as toxic only if it is the text's highest
 or already scores high; all windows of clean texts are clean.
 """
@@ -20,23 +22,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventstats.llm.common import stored, worker_state
+
 #: Labelled texts that the network is fitted on, by hash of the id: so many of each label.
 TRAIN_TOXIC = 1500
 TRAIN_CLEAN = 3000
+TRAIN_BYTES = 64 << 20
 #: Words in a window, and words that the next window begins later.
-WINDOW = 24
-STRIDE = 16
+WINDOW = 48
+STRIDE = 32
 #: Width of the embeddings and of a recurrent state.
 WIDTH, STATE = 8, 8
 #: Words and n-grams get an embedding if one text in so many has them (3 to 8 texts); others get zeros.
 TEXTS_PER_MINIMUM = 400
 #: Every so manieth text of the sample is not trained on but sets the cut between the labels.
-CALIBRATE_EVERY = 5
+CALIBRATE_EVERY = 10
 CUT = 0.7
-GRAMS = (4, 5)
+GRAMS = (6, 8)
 EPOCHS = 4
+#: A word or n-gram starts as telling if toxic texts have it oftener than chance by so many deviations,
+#: fewer where few toxic texts are known.
+TELLING = 4
+#: Weight of a text's evidence beside the logit of its highest window.
+EVIDENCE_WEIGHT = 3.0
 #: Words that a task keeps the inputs of.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 _TOKEN = re.compile(r"\w+")
 
@@ -84,6 +94,13 @@ def sums_by_row(where: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.n
     return found[first], np.add.reduceat(values[order], first, axis=0)
 
 
+def text_evidence(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The evidence of all words of each of the texts that lie one after the other, less for long texts."""
+    total = np.append(0, np.cumsum(np.maximum(values, 0), dtype=np.float64))
+    ends = np.cumsum(sizes)
+    return np.log1p(np.maximum(total[ends] - total[ends - sizes], 0)) - 0.3 * np.log(np.maximum(sizes, 1))
+
+
 def window_starts(n: int) -> np.ndarray:
     """Where the windows of a text of ``n`` words begin; at least one, the last reaches the end."""
     return np.arange(0, max(n - WINDOW, 0) + STRIDE, STRIDE)
@@ -100,8 +117,14 @@ class Network:
     p: dict[str, np.ndarray] = field(default_factory=dict)
     vocabulary: dict[str, int] = field(default_factory=dict)
     codes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    #: A text's logit: of its highest window by ``scale``, its evidence by ``weight``, and ``shift``.
     scale: float = 1.0
+    weight: float = 0.0
     shift: float = 0.0
+    #: How telling words and n-grams were found to be before training, by their rows.
+    word_evidence: np.ndarray = field(default_factory=lambda: np.zeros(1, np.float32))
+    gram_evidence: np.ndarray = field(default_factory=lambda: np.zeros(1, np.float32))
+    mark: str = ""
 
     @classmethod
     def new(cls, vocabulary: dict[str, int], codes: np.ndarray, seed: int = 7) -> Network:
@@ -131,6 +154,11 @@ class Network:
         mean = np.add.reduceat(self.p["grams"][grams], begins, axis=0) / counts[:, None]
         return np.hstack([self.p["words"][words], mean]).astype(np.float32)
 
+    def evidence(self, words: np.ndarray, grams: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """How telling each word is, by itself and by the mean of its n-grams."""
+        counts = np.diff(np.append(begins, len(grams)))
+        return self.word_evidence[words] + np.add.reduceat(self.gram_evidence[grams], begins) / counts
+
     def run(self, xs: dict[str, np.ndarray], mask: np.ndarray, keep: bool = False):
         """Logits of windows. ``xs[d]``: (window, word, gate inputs); ``mask``: real words."""
         rows, steps = mask.shape
@@ -214,6 +242,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     rows, grams, begins = net.rows(words)
     counts = np.diff(np.append(begins, len(grams)))
     _start_from_counts(net, docs, y, rows, grams, begins, counts)
+    evidence = net.evidence(rows, grams, begins)
 
     starts = [window_starts(len(d)) for d in docs]
     owner = np.repeat(np.arange(len(docs)), [len(s) for s in starts])
@@ -227,13 +256,17 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     speed: dict[str, np.ndarray] = {k: np.full_like(v, 1e-6) for k, v in net.p.items()}
 
     def score_all() -> np.ndarray:
-        inputs = net.inputs(rows, grams, begins)
+        inputs = np.empty((len(rows), 2 * WIDTH), np.float32)
+        for i in range(0, len(rows), 20_000):
+            part = np.arange(i, min(i + 20_000, len(rows)))
+            span = spans(begins[part], counts[part])
+            inputs[part] = net.inputs(rows[part], grams[span], np.cumsum(counts[part]) - counts[part])
         gates = net.project(inputs)
         return np.concatenate([
-            net.run({d: v[at[i : i + 4096]] for d, v in gates.items()}, mask[i : i + 4096]) for i in range(0, len(at), 4096)])
+            net.run({d: v[at[i : i + 1024]] for d, v in gates.items()}, mask[i : i + 1024])
+            for i in range(0, len(at), 1024)])
 
-    evidence = (net.p["words"][rows, 0] + np.add.reduceat(net.p["grams"][grams, 0], begins) / counts)[at]
-    scores = np.where(mask, evidence, -9).max(axis=1) - 9  # the first round picks by evidence alone
+    scores = np.where(mask, evidence[at], -9).max(axis=1) - 9  # the first round picks by evidence alone
     for epoch in range(epochs):
         highest = np.maximum.reduceat(scores, first)[owner] == scores
         positive = np.flatnonzero(toxic & (highest | (scores > 0)))
@@ -260,9 +293,11 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
                 net.p[name][hit] -= 0.05 * total / np.sqrt(speed[name][hit])
                 net.p[name][0] = 0
         scores = score_all()
+    net.weight = EVIDENCE_WEIGHT
     found = score_texts([t for t, _ in apart], net, _Gates(net))
     cut = _cut(np.log(found / (1 - found)), np.array([v for _, v in apart]))
     net.shift = float(np.log(CUT / (1 - CUT)) - cut)
+    net.mark = f"{zlib.crc32(repr((cut, len(pairs), len(words))).encode()):08x}"
     return net
 
 
@@ -295,50 +330,60 @@ def _start_from_counts(net: Network, docs, y, rows, grams, begins, counts) -> No
             seen[label, np.unique(found)] += 1
         expected = seen.sum(axis=0) * y.mean()
         seen[:, 0] = expected[0] = 0
-        net.p[name][:, 0] = np.clip((seen[1] - expected) / np.sqrt(expected + 1), -4, 4) / 2
+        over = (seen[1] - expected) / np.sqrt(expected + 1)
+        least = min(TELLING, np.sqrt(y.sum()) / 3)
+        found = np.where(over > least, np.minimum(over, 15), np.minimum(over, 0)) / 4
+        net.p[name][:, 0] = found
+        setattr(net, name[:-1] + "_evidence", found.astype(np.float32))
 
 
-def _cut(logits: np.ndarray, y: np.ndarray) -> float:
-    """Where the shares of both labels that lie on the wrong side sum to the least.
+#: The cut lies this far up from the logit that most clean texts stay below to the median of toxic ones,
+#: so some wrong labels do not move it; the way counts as at least so long.
+CLEAN_BELOW = 0.95
+CUT_IN_GAP = 0.3
+LEAST_GAP = 4.0
 
-    Among equally good cuts, the middle of the widest gap.
-    """
-    order = np.argsort(logits, kind="stable")
-    sorted_, label = logits[order], y[order]
-    missed = np.append(0, np.cumsum(label)) / max(label.sum(), 1)
-    passed = 1 - np.append(0, np.cumsum(1 - label)) / max((1 - label).sum(), 1)
-    wrong = missed + 3 * passed
-    edges = np.concatenate([[sorted_[0] - 1], sorted_, [sorted_[-1] + 1]])
-    gaps = np.where(wrong <= wrong.min() + 1e-12, np.diff(edges), -1)
-    best = int(gaps.argmax())
-    return float((edges[best] + edges[best + 1]) / 2)
+
+def _cut(logits: np.ndarray, y: np.ndarray) -> float:
+    """The logit that divides the labels."""
+    low, high = np.quantile(logits[y == 0], CLEAN_BELOW), np.median(logits[y == 1])
+    return float(low + CUT_IN_GAP * max(high - low, LEAST_GAP))
 
 
 class _Gates(dict):
-    """Word to row of a table of gate inputs; new words are added in one go, the table is bounded."""
+    """Word to row of a table of gate inputs and evidence; the table is bounded and doubles as it fills."""
 
     def __init__(self, net: Network) -> None:
         super().__init__()
         self.net = net
-        self.table = np.zeros((0, 6 * STATE), np.float32)
+        self.table = np.zeros((1024, 6 * STATE + 1), np.float32)
 
     def rows(self, words: list[str]) -> np.ndarray:
         new = [w for w in dict.fromkeys(words) if w not in self]
         if new and len(self) + len(new) > CACHE_WORDS:
             self.clear()
             new = list(dict.fromkeys(words))
-        if new:
-            gates = self.net.project(self.net.inputs(*self.net.rows(new)))
-            self.table = np.vstack([self.table[: len(self)], np.hstack([gates["f"], gates["b"]])])
-            self.update(zip(new, range(len(self), len(self) + len(new))))
+        at = len(self)
+        if at + len(new) > len(self.table):
+            table = np.zeros((max(2 * len(self.table), at + len(new)), self.table.shape[1]), np.float32)
+            table[:at] = self.table[:at]
+            self.table = table
+        for i in range(0, len(new), 20_000):
+            part = new[i : i + 20_000]
+            found = self.net.rows(part)
+            gates = self.net.project(self.net.inputs(*found))
+            place = slice(at + i, at + i + len(part))
+            self.table[place] = np.hstack([gates["f"], gates["b"], self.net.evidence(*found)[:, None]])
+        self.update(zip(new, range(at, at + len(new))))
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
-def score_texts(texts: list[str | None], net: Network, gates: _Gates, block: int = 4096) -> np.ndarray:
+def score_texts(texts: list[str | None], net: Network, gates: _Gates, block: int = 1024) -> np.ndarray:
     """Probability for each text, as its highest window; windows are run in blocks."""
     words = [tokens(t) for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
     flat = gates.rows([w for doc in words for w in doc])
+    context = text_evidence(gates.table[flat, 6 * STATE], sizes)
     flat = np.append(flat, np.zeros(1, np.int64))
     starts = [window_starts(n) for n in sizes]
     counts = np.array([len(s) for s in starts])
@@ -346,34 +391,43 @@ def score_texts(texts: list[str | None], net: Network, gates: _Gates, block: int
     start = np.concatenate(starts)
     begin = (np.cumsum(sizes) - sizes)[owner]
     logits = np.empty(len(start), np.float32)
-    table = gates.table if len(gates.table) else np.zeros((1, 6 * STATE), np.float32)
     for i in range(0, len(start), block):
+        of = owner[i : i + block]
         places = start[i : i + block, None] + np.arange(WINDOW)
-        mask = places < sizes[owner[i : i + block]][:, None]
-        x = table[flat[np.where(mask, places + begin[i : i + block, None], len(flat) - 1)]]
-        logits[i : i + block] = net.run({"f": x[:, :, : 3 * STATE], "b": x[:, :, 3 * STATE :]}, mask)
+        mask = places < sizes[of][:, None]
+        x = gates.table[flat[np.where(mask, places + begin[i : i + block, None], len(flat) - 1)]]
+        logits[i : i + block] = net.run({"f": x[:, :, : 3 * STATE], "b": x[:, :, 3 * STATE : 6 * STATE]}, mask)
     best = np.maximum.reduceat(logits, np.cumsum(counts) - counts)
-    best[sizes == 0] = -30  # no words, nothing toxic
-    return _sigmoid(net.scale * best.astype(np.float64) + net.shift)
+    found = net.scale * best.astype(np.float64) + net.weight * context + net.shift
+    return _sigmoid(np.where(sizes == 0, -30, found))  # no words, nothing toxic
 
 
-def training_texts(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN):
-    """Texts and labels of the sample: ids are chosen first, texts of only those are fetched.
+def training_texts(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN, most: int = TRAIN_BYTES):
+    """Texts and labels of the sample, at most so many of each label and so many bytes in all.
 
     ``labels`` has ``doc_id, toxic``; null labels teach nothing, and an id with both labels is toxic.
+    Ids are chosen by hash, then texts of only those are fetched, one for each id (the least, if rows
+    of the id differ); texts that would exceed the bytes, in the order of the hashes, are left out.
     """
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-    ids: dict[int, int] = {}
-    for label, most in ((1, toxic), (0, clean)):
-        chosen = known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-        ids |= {r[0]: label for r in chosen.select("doc_id").collect()}
+    ids: dict[int, tuple[int, int]] = {}
+    for label, number in ((1, toxic), (0, clean)):
+        chosen = known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(number)
+        ids |= {r[0]: (i, label) for i, r in enumerate(chosen.select("doc_id").collect())}
     if not ids:
         return [], []
     wanted = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long")  # bounded by the sample
-    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").collect()
-    rows = sorted((r[0], r[1] or "") for r in rows)
-    return [t for _, t in rows], [ids[i] for i, _ in rows]
+    texts = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts = stored(texts, "labelled-texts")
+    fits, total = [], 0
+    for doc_id, size in sorted(texts.select("doc_id", F.octet_length("text")).collect(), key=lambda r: ids[r[0]]):
+        if total + (size or 0) <= most:
+            total += size or 0
+            fits.append((doc_id,))
+    fits = docs.sparkSession.createDataFrame(fits, "doc_id long")
+    rows = sorted((r[0], r[1] or "") for r in texts.join(F.broadcast(fits), "doc_id").collect())
+    return [t for _, t in rows], [ids[i][1] for i, _ in rows]
 
 
 def score_documents(
@@ -381,26 +435,21 @@ def score_documents(
 ) -> DataFrame:
     """The ``columns`` (``doc_id``) of ``docs`` and the score, as ``name``, for every row.
 
-    Whole texts are scored. Null texts and texts without words score next to 0. Without a
-    network, as when no labels are given, every score is 0. Repeated rows score the same; an
-    empty table gives no rows; columns that are not named are not read.
+    Whole texts are scored, and only they go to Python. Null texts and texts without words score next
+    to 0. Without a network, as when no labels are given, every score is 0. Repeated rows score the
+    same, also without ids; an empty table gives no rows; columns that are not named are not read.
     """
-    names = columns or ["doc_id"]
-    kept = docs.select(*[F.col(f"`{c}`") for c in names])
+    names = [F.col(f"`{c}`") for c in columns or ["doc_id"]]
     if net is None:
-        return kept.withColumn(name, F.lit(0.0))
+        return docs.select(*names, F.lit(0.0).alias(name))
     shared = docs.sparkSession.sparkContext.broadcast(net)  # bounded by the sample
-    given = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, "text"])])
-    place, width = given.columns.index("text"), len(names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         net = shared.value
-        gates = _Gates(net)
+        gates = worker_state(("toxicity", net.mark), lambda: _Gates(net))
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                scores = score_texts(part.columns[place].to_pylist(), net, gates)
-                yield pa.RecordBatch.from_arrays([*part.columns[:width], pa.array(scores, pa.float64())], [*names, name])
+            parts = [score_texts(batch.slice(at, 256).to_pylist(), net, gates) for at in range(0, len(batch), 256)]
+            yield pa.array(np.concatenate(parts) if parts else [], pa.float64())
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return given.mapInArrow(run, f"{kinds}, `{name}` double")
+    return docs.select(*names, score.asNondeterministic()(F.col("text")).alias(name))
