@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventstats.llm.common import stored, table
-from eventstats.llm.exact_dedup import DigestIndex, drop_copies
+from eventstats.llm.exact_dedup import BATCHES, DigestIndex, drop_copies
 from eventstats.llm.mixing import apply_mix, mix
 from eventstats.llm.ngram_join import drop_near_copies
 from eventstats.llm.queries_models import fit_toxicity
@@ -28,7 +28,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each distinct text, white space aside."""
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return drop_copies(docs, DigestIndex(spark, buckets=buckets))
+    return drop_copies(docs, DigestIndex(spark, buckets=buckets), batches=BATCHES)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
