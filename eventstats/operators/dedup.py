@@ -1,20 +1,23 @@
 """Repeat detection: first row of a key per time bucket, and keys seen in the batch before.
 
-No step collects a key's rows in one task. First rows are found by partial aggregation, and
-the flags return to the rows by a join on row identity, which spreads a hot key evenly.
+The input is evaluated once and never joined with itself. Rows meet by key and minute, which splits
+a key that holds much of the data, and the first of each minute is marked. Only those first rows, at
+most one a minute and key, are then compared by key over the wider buckets; the others go along
+spread over all tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventstats.functions import BUCKET_WIDTHS, bucket_label
 from eventstats.operators.lookups import salted_join
 
-_FIRST, _BUCKET, _PLACE = "_first", "_bucket", "_place"
+_BUCKET, _HEAD = "_bucket", "_head"
+#: Rows of a key are gathered by this interval first.
+_CHUNK = "minutely"
 
 
 def flag_name(keys: Sequence[str], interval: str) -> str:
@@ -31,38 +34,39 @@ def flag_duplicates(
     """Add one flag per interval: 0 on the first row of (keys, bucket), 1 on later rows.
 
     Rows are ordered by time, then by ``tiebreak``, which together with key and time must
-    identify a row. ``tiebreak=None`` is for rows without an id: they are written to the shared
-    folder first, and ties go to any one of the tied rows. A row whose first key is blank cannot be a repeat: its flags are 0.
+    identify a row. ``tiebreak=None`` is for rows without an id: ties are broken by a hash of all
+    columns, so only rows that are alike in every column can change places. A row whose first key
+    is blank cannot be a repeat: its flags are 0.
     """
     intervals = widest_last(intervals)
-    if tiebreak is None:
-        return _flag_without_ids(df, keys, intervals, time_col)
-
-    names = {i: flag_name(keys, i) for i in intervals}
-    order = [time_col, *[c for c in tiebreak if c != time_col]]
-    identity = list(dict.fromkeys([*keys, *order]))
-    firsts = first_rows(df, keys, intervals, time_col, order)
-    marks = firsts.select(
-        *[F.col(c).alias(f"_m_{c}") for c in identity],
-        F.col(_BUCKET).alias(f"_m{_BUCKET}"),
-        F.struct(*[F.col(f"_repeat_{i}").alias(i) for i in intervals]).alias(_FIRST),
-    )
-    # Row identity alone would do. Key and bucket, by which the marks are unique, let the
-    # optimizer drop the join where no flag is used.
-    same_bucket = _bucket(df[time_col], intervals[0]) == marks[f"_m{_BUCKET}"]
-    same_row = [
-        df[c] == marks[f"_m_{c}"] if c == keys[0] else df[c].eqNullSafe(marks[f"_m_{c}"])
-        for c in identity
-    ]
-    on = reduce(lambda a, b: a & b, same_row, same_bucket)
-    joined = df.join(marks, on, "left").select(*[df[c] for c in df.columns], _FIRST)
+    order = _order(df, time_col, tiebreak)
     blank = has_no_key(keys)
-    return joined.withColumns(
+    time = F.col(time_col)
+    # Blank keys would meet in one task; a hash of their order spreads them.
+    own = F.xxhash64(*order)
+    minute = Window.partitionBy(*keys, _bucket(time, _CHUNK), F.when(blank, own)).orderBy(*order)
+    out = df.withColumn(_HEAD, ~blank & F.lag(F.lit(1)).over(minute).isNull())
+    wider = [i for i in intervals if i != _CHUNK]
+    repeat = {_CHUNK: F.lit(0)}
+    if wider:
+        heads = Window.partitionBy(
+            *keys, _bucket(time, wider[-1]), F.when(~F.col(_HEAD), own)
+        ).orderBy(*order)
+        repeat |= {i: _same_bucket_as_before(time_col, i, heads) for i in wider}
+    return out.withColumns(
         {
-            names[i]: F.when(blank, 0).otherwise(F.coalesce(F.col(_FIRST)[i], F.lit(1)))
+            flag_name(keys, i): F.when(blank, 0).when(F.col(_HEAD), repeat[i]).otherwise(1)
             for i in intervals
         }
-    ).drop(_FIRST)
+    ).drop(_HEAD)
+
+
+def _order(df: DataFrame, time_col: str, tiebreak: Sequence[str] | None) -> list[Column]:
+    if tiebreak is not None:
+        return [F.col(c) for c in dict.fromkeys([time_col, *tiebreak])]
+    maps = {f.name for f in df.schema if "map<" in f.dataType.simpleString()}
+    columns = [F.to_json(c) if c in maps else F.col(c) for c in df.columns]  # maps have no hash
+    return [F.col(time_col), F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)]
 
 
 def flag_specs(
@@ -135,27 +139,10 @@ def _bucket(time: Column, interval: str) -> Column:
 
 
 def _same_bucket_as_before(time_col: str, interval: str, window) -> Column:
-    label = bucket_label(F.col(time_col), interval)
+    label = _bucket(F.col(time_col), interval)
     return F.coalesce((F.lag(label).over(window) == label).cast("int"), F.lit(0))
 
 
-def _flag_without_ids(
-    df: DataFrame, keys: Sequence[str], intervals: Sequence[str], time_col: str
-) -> DataFrame:
-    """The rows are written once to the shared folder; their place there serves as their id.
-
-    Computing an id on the fly would not do: a task that is run again may give it to another of
-    two tied rows, which then both count as first, or neither.
-    """
-    from eventstats.streaming.scratch import shared_dir  # that package imports this module
-
-    path = shared_dir(df.sparkSession, "rows-without-ids")
-    df.write.parquet(path)
-    place = F.struct("_metadata.file_name", "_metadata.row_index").alias(_PLACE)
-    rows = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns, place)
-    return flag_duplicates(rows, keys, intervals, time_col, [_PLACE]).drop(_PLACE)
-
-
 def drop_seen_in_previous_batch(
     df: DataFrame, previous_keys: DataFrame, key: str, salts: int = 16
 ) -> DataFrame:
