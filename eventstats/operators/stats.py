@@ -66,7 +66,7 @@ def statistics(df: DataFrame, *specs: StatSpec) -> DataFrame:
     """
     if not specs:
         raise ValueError("no statistic given")
-    additive = [s for s in specs if all(_split_agg(a)[1] in ADDITIVE for a in s.aggs)]
+    additive = [s for s in specs if all(split_agg(a)[1] in ADDITIVE for a in s.aggs)]
     passes = ([additive] if additive else []) + [[s] for s in specs if s not in additive]
     results = [_one_pass(df, group) for group in passes]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
@@ -108,7 +108,7 @@ def _column(spec: StatSpec, label: str) -> str:
     return spec.none_value if column == NO_DIMENSION else column
 
 
-def _split_agg(text: str) -> tuple[str, str]:
+def split_agg(text: str) -> tuple[str, str]:
     column, _, method = text.strip().partition(":")
     method = method.partition(":")[0].strip()
     if method not in METHODS:
@@ -140,7 +140,7 @@ def _one_pass(df: DataFrame, specs: Sequence[StatSpec]) -> DataFrame:
         if guarded:
             aggregates[present] = F.count_if(F.expr(where))
         for m, text in enumerate(dict.fromkeys(a.strip() for a in spec.aggs)):
-            column, method = _split_agg(text)
+            column, method = split_agg(text)
             source = F.when(F.expr(where), F.col(column)) if guarded else F.col(column)
             name = f"_v{n}_{m}"
             aggregates[name] = _aggregate(source, method, spec.rsd)

@@ -332,3 +332,38 @@ def test_stream_compacts_by_itself(spark, path):
         run_stream(stream, on_batch, checkpoint, compact=compact, compact_every=2)
     assert done == [1, 3]
     assert [(r.word, r.value) for r in tally.current().collect()] == [("a", 5)]
+
+
+def test_distinct_counts_add_up(spark, tmp_path):
+    """Numbers, texts, look-alikes, nulls, replays, a second run and a fold, against sets."""
+    import random
+
+    from eventstats.operators import StatSpec
+    from eventstats.sinks import DistinctTable
+
+    rng = random.Random(4)
+    texts = ["7", "07", "7.0", " 7", "-3", "x", "", "9223372036854775807", "9223372036854775808"]
+    rows = [(rng.choice(["a", "b"]), rng.choice(["p", None]), rng.choice([str(rng.randrange(90_000)), *texts, None]), i % 3)
+            for i in range(3000)] + [("c", "p", None, 0)]
+    df = spark.createDataFrame(rows, "host string, platform string, user string, batch int")
+    labels = {"L0": "NONE", "L1": "host", "L2": "platform"}
+    spec = StatSpec(labels, ["L1", "L1:L2", "L0"], ["user:countDistinct", "user:approxCountDistinct"], "d", "v", "c")
+    path = str(tmp_path / "users")
+    first, second = DistinctTable(spark, path, "one"), DistinctTable(spark, path, "two")
+    for batch in (0, 1, 1):
+        first.add_batch(df.filter(f"batch = {batch}"), spec, batch)
+    second.add_batch(df.filter("batch = 2"), spec, 0)
+    first.compact(1)
+    got = {(r["key"], r["host"], r["platform"], r["agg"]): r["value"] for r in second.current().collect()}
+    want = {}
+    for host, platform, user, _ in rows:
+        for key in (("L1", host, None), ("L1,L2", host, platform), ("L0", None, None)):
+            want.setdefault(key, set()).update([user] if user is not None else [])
+    assert {k[:3]: v for k, v in got.items() if k[3] == "user:countDistinct"} == {k: len(v) for k, v in want.items()}
+    for key, users in want.items():
+        assert abs(got[(*key, "user:approxCountDistinct")] - len(users)) <= 0.08 * len(users)
+    empty = DistinctTable(spark, str(tmp_path / "empty"))
+    empty.add_batch(df.limit(0), spec, 0)
+    assert empty.current().count() == 0
+    with pytest.raises(ValueError):
+        first.add_batch(df, StatSpec(labels, ["L1"], ["user:count"], "d", "v", "c"), 5)

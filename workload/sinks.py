@@ -9,6 +9,7 @@ from eventstats.operators import statistics
 from eventstats.plans import metrics
 from eventstats.sinks import (
     BatchTable,
+    DistinctTable,
     TallyTable,
     forward_changed,
     print_rows,
@@ -125,6 +126,45 @@ def sink_changed_documents(spark, sf_dir):
     return store.read_batch(len(THIRDS) - 1).drop("doc_id")
 
 
+_DISTINCT = dict(value="count(DISTINCT user_id)", agg="user_id:countDistinct")
+_USER_SETS = [*_SETS, ("L0", "NONE", []), ("L1,L2", "host,platform", ["host", "platform"])]
+
+
+def _add_users(spark, sf_dir, method: str, targets) -> DistinctTable:
+    """Three batches, the second written twice, the first two folded."""
+    users = DistinctTable(spark, shared_dir(spark, "users"))
+    for batch_id, part in [*enumerate(THIRDS), (1, THIRDS[1])]:
+        events = inputs.with_k(inputs.table(spark, sf_dir, "events").filter(part))
+        rows = inputs.to_tracking(inputs.to_tracking_json(events))
+        users.add_batch(rows, spec(targets, [f"user_id:{method}"]), batch_id)
+    users.compact(1)
+    return users
+
+
+@query(
+    "sink_distinct_users",
+    sql(stat_sql("tracking", _USER_SETS, ["host", "platform"], "activity", "visits", **_DISTINCT),
+        "tracking"),
+)
+def sink_distinct_users(spark, sf_dir):
+    """Distinct users over three batches, equal to those of the whole table."""
+    return _add_users(spark, sf_dir, "countDistinct", ["L1", "L2", "L0", "L1:L2"]).current()
+
+
+@query(
+    "sink_distinct_sketch",
+    sql("SELECT platform, 'near' AS estimate FROM tracking GROUP BY platform", "tracking"),
+)
+def sink_distinct_sketch(spark, sf_dir):
+    """Sketches added over three batches: within four standard errors (1.6 %) of the exact count."""
+    about = _add_users(spark, sf_dir, "approxCountDistinct", ["L2"]).current()
+    exact = statistics(inputs.tracking(spark, sf_dir), spec(["L2"], ["user_id:countDistinct"]))
+    both = about.select("platform", F.col("value").alias("about")).join(
+        exact.select("platform", "value"), "platform")
+    near = F.abs(F.col("about") - F.col("value")) <= F.lit(4 * 0.016) * F.col("value") + 1
+    return both.select("platform", F.when(near, "near").otherwise("far").alias("estimate"))
+
+
 @query(
     "console_rows",
     sql("SELECT event_group, CAST(count(*) AS BIGINT) AS n FROM tracking GROUP BY ALL", "tracking"),
