@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def kafka_options(
@@ -66,6 +67,19 @@ def read_log_stream(
     return stream.repartition(partitions) if partitions else stream
 
 
+def union_streams(sources: Mapping[str, DataFrame], label: str = "source") -> DataFrame:
+    """Several streams as one, with the name of the stream a row came by.
+
+    The parts are read by one query with one checkpoint, so their micro-batches go together and a
+    restart goes on in each. Keep the names and their order from start to start: the checkpoint
+    knows the parts by their places.
+    """
+    if not sources:
+        raise ValueError("no stream given")
+    parts = [df.withColumn(label, F.lit(name)) for name, df in sources.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def spread(df: DataFrame, *columns: str, at_least: int | None = None) -> DataFrame:
     """Shuffle a scan only when it has fewer splits than there are cores.
 

@@ -15,10 +15,12 @@ from eventstats.operators import (
 )
 from eventstats.plans import Flow, metrics
 from eventstats.sinks import BatchTable, TallyTable
-from eventstats.sources import read_log_stream, spread
+from eventstats.sources import read_log_stream, spread, union_streams
 from eventstats.streaming import (
+    Lateness,
     PreviousBatch,
     SeenKeys,
+    first_per_key,
     latest_windows,
     run_stream,
     shared_dir,
@@ -401,3 +403,108 @@ def stream_restart(spark, sf_dir):
 
     run_arrivals(spark, sf_dir, on_batch, arrivals=(*ARRIVALS, "ts IS NULL"))
     return tally.current().drop("doc_id")
+
+
+@query("stream_union_inputs", sql(f"SELECT {CANONICAL}, event_group, CASE host WHEN 'h0' THEN 'a' ELSE 'b' END AS source FROM tracking", "tracking"))
+def stream_union_inputs(spark, sf_dir):
+    """Two folders in one query; after a restart on its checkpoint one of them has a new file."""
+    lines = inputs.tracking_json(spark, sf_dir)
+    folders = {name: shared_dir(spark, f"landing-{name}") for name in ("a", "b")}
+    out, checkpoint = BatchTable(spark, shared_dir(spark, "out")), shared_dir(spark, "checkpoint")
+
+    def run():
+        streams = {n: read_log_stream(spark, path=p, schema=lines.schema) for n, p in folders.items()}
+
+        def on_batch(batch, batch_id):
+            rows = inputs.enhance_time(inputs.format_log(batch, inputs.RULES, keep=["event_id", "source"]))
+            out.write_batch(rows.drop("time_minute_1_start", "time_minute_1_end"), batch_id)
+
+        run_stream(union_streams(streams), on_batch, checkpoint)
+
+    lines.filter("event_id % 3 = 0").write.mode("append").parquet(folders["a"])
+    lines.filter("event_id % 3 = 1").write.mode("append").parquet(folders["b"])
+    run()
+    lines.filter("event_id % 3 = 2").write.mode("append").parquet(folders["b"])
+    run()
+    return out.read()
+
+
+# Arrivals of which the last two hold rows behind the watermark, and the lines they meet.
+LATE_ARRIVALS = (
+    "day(ts) BETWEEN 5 AND 15",
+    "day(ts) > 15 AND event_id % 5 <> 0 OR day(ts) = 3",
+    "day(ts) < 5 AND day(ts) <> 3 OR day(ts) > 15 AND event_id % 5 = 0",
+)
+_LATE_SQL = sql(
+    f""", arrived AS (
+  SELECT *, CASE {' '.join(f'WHEN {a} THEN {i}' for i, a in enumerate(LATE_ARRIVALS))} END AS arrival FROM tracking
+), divided AS (
+  SELECT *, coalesce(CAST(time AS TIMESTAMP) <= (SELECT max(CAST(time AS TIMESTAMP)) FROM arrived AS b WHERE b.arrival < a.arrival)
+    - INTERVAL 3 DAY, false) AS late FROM arrived AS a
+)""",
+    "tracking",
+)
+
+
+@query(
+    "stream_dedup_state",
+    _LATE_SQL + """
+SELECT 'first' AS kind, user_id, substr(time, 1, 10) AS day, CAST(1 AS BIGINT) AS n FROM divided
+WHERE NOT late AND user_id <> '' GROUP BY ALL
+UNION ALL SELECT 'late', user_id, substr(time, 1, 10), count(*) FROM divided WHERE late GROUP BY ALL
+UNION ALL SELECT 'all', '', '', count(*) FROM divided""",
+)
+def stream_dedup_state(spark, sf_dir):
+    """Users a day by Spark's state store, which forgets; rows too late for it go to a table."""
+    on_time = shared_dir(spark, "on-time")
+    late, kept = BatchTable(spark, shared_dir(spark, "late")), BatchTable(spark, shared_dir(spark, "kept"))
+    rows_in, lateness = BatchTable(spark, shared_dir(spark, "in")), Lateness(spark, shared_dir(spark, "lines"), "3 days")
+    checkpoint, schema = shared_dir(spark, "checkpoint"), "event_id bigint, user_id string, day string, ts timestamp_ntz"
+
+    def divide(batch, batch_id):
+        rows = tracking_of(batch).select("event_id", "user_id", "time").persist()
+        try:
+            in_time, too_late = lateness.split(rows, batch_id)
+            late.write_batch(too_late, batch_id)
+            day, ts = F.substring("time", 1, 10).alias("day"), F.col("time").cast("timestamp_ntz").alias("ts")
+            in_time.select("event_id", "user_id", day, ts).write.mode("overwrite").parquet(f"{on_time}/batch-{batch_id}")
+            rows_in.write_batch(rows.agg(F.count(F.lit(1)).alias("n")), batch_id)
+        finally:
+            rows.unpersist()
+        stream = read_log_stream(spark, path=f"{on_time}/*", schema=schema).filter("user_id <> ''")
+        run_stream(first_per_key(stream, ["user_id", "day"], "ts", "4 days"), kept.write_batch, checkpoint)
+
+    run_arrivals(spark, sf_dir, divide, LATE_ARRIVALS)
+    day = F.substring("time", 1, 10).alias("day")
+    first = kept.read().select(F.lit("first").alias("kind"), "user_id", "day", F.lit(1).cast("bigint").alias("n"))
+    gone = late.read().groupBy(F.lit("late").alias("kind"), "user_id", day).agg(F.count(F.lit(1)).alias("n"))
+    total = rows_in.read().agg(F.sum("n").alias("n")).select(
+        F.lit("all").alias("kind"), F.lit("").alias("user_id"), F.lit("").alias("day"), "n")
+    return first.unionByName(gone).unionByName(total)
+
+
+@query(
+    "stream_dedup_expiring",
+    _LATE_SQL + """
+SELECT event_id, late, CASE WHEN late THEN NULL WHEN user_id = '' OR row_number() OVER (
+    PARTITION BY late, user_id, substr(time, 1, 10) ORDER BY arrival, time, event_id) = 1 THEN 0 ELSE 1 END AS flag
+FROM divided""",
+)
+def stream_dedup_expiring(spark, sf_dir):
+    """Daily flags whose memory is cut at the watermark after every batch; late rows get no flag."""
+    seen, out = SeenKeys(spark, shared_dir(spark, "seen")), BatchTable(spark, shared_dir(spark, "out"))
+    lateness = Lateness(spark, shared_dir(spark, "lines"), "3 days")
+
+    def on_batch(batch, batch_id):
+        if batch_id:  # the batch before is done: what no later row can meet goes
+            seen.compact(batch_id - 1, lateness.oldest(seen.intervals, batch_id))
+        rows = tracking_of(batch).select("event_id", "user_id", "time").persist()
+        try:
+            in_time, too_late = lateness.split(rows, batch_id)
+            flagged = seen.flag_batch(in_time, batch_id).withColumn("late", F.lit(False))
+            out.write_batch(flagged.unionByName(too_late.withColumn("late", F.lit(True)), allowMissingColumns=True), batch_id)
+        finally:
+            rows.unpersist()
+
+    run_arrivals(spark, sf_dir, on_batch, LATE_ARRIVALS)
+    return out.read().select("event_id", "late", F.col("user_id_daily_duplicate_flag").alias("flag"))
