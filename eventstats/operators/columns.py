@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from eventstats.functions import normalize_time, time_bucket
 from eventstats.sources.schemas import parse_fields
@@ -58,15 +58,21 @@ def enhance_time(
     intervals: Sequence[int] = (1,),
     prefix: str = "time_minute_",
     default_offset: str = "+08:00",
+    observe: Observation | str | None = None,
 ) -> DataFrame:
     """Normalise the event time, drop rows without a valid one, add bucket start and end.
 
     The time comes out of a generator so that the filter on it does not compute it again.
+    ``observe`` counts the rows with an ``invalid_time`` and the ``valid`` ones on the way.
     """
     time = F.explode(F.array(normalize_time(F.col(time_col), default_offset)))
     others = [c for c in df.columns if c != time_col]
     timed = df.select(*others, time.alias(time_col)).select(*df.columns)
-    timed = timed.filter(F.col(time_col).isNotNull())
+    valid = F.col(time_col).isNotNull()
+    if observe is not None:
+        counts = F.count_if(~valid).alias("invalid_time"), F.count_if(valid).alias("valid")
+        timed = timed.observe(observe, *counts)
+    timed = timed.filter(valid)
     return timed.withColumns(_bucket_columns(time_col, intervals, prefix))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from eventstats.functions import (
     event_group,
@@ -52,13 +52,15 @@ def format_log(
     user_id_policy: str = "resolve",
     uuid_from_event: bool = False,
     on_error: str = "drop",
+    observe: Observation | str | None = None,
 ) -> DataFrame:
     """Parse each line once and project the canonical event.
 
     ``keep`` names input columns to carry along (row ids). ``user_id_policy`` is "resolve"
     (numbers may be quoted) or "strict" (JSON integers only, the top-level uid included).
     Lines that are not JSON are dropped, or kept with ``is_malformed`` when
-    ``on_error="keep"``. Missing fields and JSON nulls become ''.
+    ``on_error="keep"``. Missing fields and JSON nulls become ''. ``observe`` counts, on the way,
+    ``rows_in`` and ``malformed``: an ``Observation`` for a batch, a name for a stream's progress.
     """
     if user_id_policy not in ("resolve", "strict"):
         raise ValueError(f"unknown user id policy {user_id_policy!r}")
@@ -105,6 +107,9 @@ def format_log(
             rules.enrollment_types,
             rules.courseware_pattern,
         )
+    if observe is not None:
+        counts = F.count(F.lit(1)).alias("rows_in"), F.count_if(malformed).alias("malformed")
+        parsed = parsed.observe(observe, *counts)
     if on_error == "drop":
         parsed = parsed.filter(~malformed)
     else:

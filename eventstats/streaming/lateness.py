@@ -30,13 +30,13 @@ class Lateness:
         self.delay = delay
         self.time_col = time_col
 
-    def watermark(self, batch_id: int):
-        """The line for a batch, from the batches before it; None for the first."""
+    def watermark(self, batch_id: int) -> str | None:
+        """The line for a batch, as text, from the batches before it; None for the first."""
         before = self.table.read(before=batch_id)
         if before is None:
             return None
         line = F.max("greatest") - F.expr(f"INTERVAL {self.delay}")
-        return before.agg(line.alias("line")).first()["line"]
+        return before.agg(line.cast("string").alias("line")).first()["line"]
 
     def split(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
         """The rows on time and the late rows. The batch is read once for its greatest time."""
@@ -54,8 +54,7 @@ class Lateness:
         if line is None:
             return {}
         spark = self.table.spark
-        text = F.lit(line.strftime("%Y-%m-%d %H:%M:%S"))
-        buckets = [bucket_label(text, i).alias(i) for i in intervals]
+        buckets = [bucket_label(F.lit(line), i).alias(i) for i in intervals]
         return spark.range(1).select(*buckets).first().asDict()
 
     def _time(self) -> Column:

@@ -367,3 +367,70 @@ def test_distinct_counts_add_up(spark, tmp_path):
     assert empty.current().count() == 0
     with pytest.raises(ValueError):
         first.add_batch(df, StatSpec(labels, ["L1"], ["user:count"], "d", "v", "c"), 5)
+
+
+def test_bulk_files(spark, tmp_path):
+    """Commits by manifest: a task that fails once, a replayed batch, an overwrite, an abort, odd text."""
+    from pyspark.sql.types import Row
+
+    from eventstats.sinks import BulkFiles, committed_files, read_bulk_files
+    from eventstats.sinks.bulk import _StreamWriter, _TableWriter
+
+    spark.dataSource.register(BulkFiles)
+    path = str(tmp_path / "bulk")
+    df = spark.createDataFrame([(str(i), 'line\n"é"', i) for i in range(50)], "doc_id string, text string, n long").repartition(3)
+    writer = df.write.format("bulk_files").options(path=path, index="i")
+    writer.mode("append").save()
+    writer.mode("append").save()
+    got = read_bulk_files(spark, path, "text string, n long").collect()
+    assert len(got) == 100 and {(r["_index"], r["_id"], r["text"]) for r in got} == {("i", str(i), 'line\n"é"') for i in range(50)}
+    writer.mode("overwrite").save()
+    assert read_bulk_files(spark, path, "n long").count() == 50
+    df.limit(0).write.format("bulk_files").options(path=str(tmp_path / "none"), index="i").mode("append").save()
+    assert committed_files(str(tmp_path / "none")) == [] and committed_files(str(tmp_path / "absent")) == []
+
+    rows = [Row("a", "x", 1), Row("b", "y", 2)]
+    stream = _StreamWriter(df.schema, {"path": str(tmp_path / "stream"), "index": "i"})
+    failed = stream.write(iter(rows))  # an attempt whose task was lost before it could report
+    first, again = stream.write(iter(rows)), stream.write(iter(rows[:1]))
+    stream.commit([first, None], 0)
+    stream.commit([again], 0)
+    assert [f.rpartition("/")[2] for f in committed_files(str(tmp_path / "stream"))] == again.files != failed.files
+    table = _TableWriter(df.schema, {"path": str(tmp_path / "gone"), "index": "i"})
+    table.abort([table.write(iter(rows)), None])
+    assert not list((tmp_path / "gone").glob("part-*"))
+    with pytest.raises(ValueError):
+        _TableWriter(df.drop("doc_id").schema, {"path": path, "index": "i"})
+
+
+def test_late_rows_are_kept_apart(spark, tmp_path):
+    """The line of a batch comes from the batches before it; replays and rows without a time."""
+    from eventstats.streaming import Lateness
+
+    def rows(*times):
+        return spark.createDataFrame([(t,) for t in times], "time string")
+
+    lateness = Lateness(spark, str(tmp_path / "lines"), "2 hours")
+    batches = [rows("2024-01-01 10:00:00", None), rows("2024-01-01 07:59:59", "2024-01-01 08:00:00", "2024-01-01 08:00:01", None, "bad"),
+               rows("2024-01-01 08:00:01", "2024-01-01 08:00:00")]
+    found = []
+    for batch_id in (0, 1, 1, 2):
+        on_time, late = lateness.split(batches[batch_id], batch_id)
+        found.append((on_time.count(), sorted(r["time"] for r in late.collect())))
+    behind = ["2024-01-01 07:59:59", "2024-01-01 08:00:00"]
+    assert found == [(2, []), (3, behind), (3, behind), (1, behind[1:])]
+    assert lateness.oldest(["daily", "hourly", "all"], 2) == {"daily": "2024-01-01", "hourly": "2024-01-01 08", "all": ""}
+    assert lateness.oldest(["daily"], 0) == {}
+
+
+def test_counts_on_the_way(spark):
+    from pyspark.sql import Observation
+
+    from eventstats.operators import LogRules, enhance_time, format_log
+
+    lines = ['{"time": "2024-01-01T00:00:00+00:00"}', '{"time": "x"}', "{broken", '{"event": 5}']
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    seen, times = Observation(), Observation()
+    out = enhance_time(format_log(df, LogRules(), observe=seen), observe=times)
+    assert out.count() == 1
+    assert seen.get == {"rows_in": 4, "malformed": 1} and times.get == {"invalid_time": 2, "valid": 1}

@@ -9,10 +9,12 @@ from eventstats.operators import statistics
 from eventstats.plans import metrics
 from eventstats.sinks import (
     BatchTable,
+    BulkFiles,
     DistinctTable,
     TallyTable,
     forward_changed,
     print_rows,
+    read_bulk_files,
     read_routed,
     typed_values,
     write_routed,
@@ -254,3 +256,19 @@ def raw_data_column(spark, sf_dir):
     counts = inputs.tracking(spark, sf_dir).groupBy("host").agg(F.count(F.lit(1)).alias("value"))
     tally.add_batch(counts, 0)
     return tally.with_raw_data().drop("doc_id")
+
+
+@query("sink_bulk_files", sql(_COUNTS, "tracking"))
+def sink_bulk_files(spark, sf_dir):
+    """Statistics as bulk files of a search index, by a Python data source, read back.
+
+    What a failed task leaves behind is in no manifest: a file of such a task is planted.
+    """
+    folder = shared_dir(spark, "bulk")
+    spark.dataSource.register(BulkFiles)
+    counts = statistics(inputs.tracking(spark, sf_dir), spec(["L1", "L2"]))
+    documents = counts.withColumn("doc_id", fn.doc_id(*[c for c in counts.columns if c != "value"]))
+    documents.write.format("bulk_files").options(path=folder, index="stats").mode("append").save()
+    documents.limit(1).write.json(f"{folder}/part-of-a-failed-task")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in counts.schema)
+    return read_bulk_files(spark, folder, fields).select(*counts.columns)

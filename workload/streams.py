@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from eventstats.operators import (
     Dimension,
@@ -508,3 +508,25 @@ def stream_dedup_expiring(spark, sf_dir):
 
     run_arrivals(spark, sf_dir, on_batch, LATE_ARRIVALS)
     return out.read().select("event_id", "late", F.col("user_id_daily_duplicate_flag").alias("flag"))
+
+
+@query(
+    "flow_observed",
+    """SELECT 'rows_in' AS counter, CAST(count(*) AS BIGINT) AS "value" FROM events
+UNION ALL SELECT 'malformed', count(*) FROM events WHERE event_id % 97 = 0
+UNION ALL SELECT 'invalid_time', count(*) FROM events WHERE event_id % 97 <> 0 AND event_id % 50 = 7
+UNION ALL SELECT 'valid', count(*) FROM events WHERE event_id % 97 <> 0 AND event_id % 50 <> 7""",
+)
+def flow_observed(spark, sf_dir):
+    """Counts taken while three micro-batches are written, without a pass of their own."""
+    out, tally = BatchTable(spark, shared_dir(spark, "out")), TallyTable(spark, shared_dir(spark, "tally"))
+
+    def on_batch(batch, batch_id):
+        lines, times = Observation(), Observation()
+        rows = inputs.format_log(lines_of(batch), inputs.RULES, keep=["event_id"], observe=lines)
+        out.write_batch(inputs.enhance_time(rows, observe=times), batch_id)
+        counted = [(name, value) for name, value in {**lines.get, **times.get}.items()]
+        tally.add_batch(spark.createDataFrame(counted, "counter string, value long"), batch_id)
+
+    run_arrivals(spark, sf_dir, on_batch)
+    return tally.current().drop("doc_id")
