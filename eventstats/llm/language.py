@@ -8,33 +8,59 @@ discount per step. A text goes to the language with the largest sum.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled documents that the model is fitted on, by hash of the id; all if there are fewer.
-#: Rows that share the last id's hash all take part.
-TRAIN_DOCS = 20_000
-#: Words kept for each language, the most frequent ones, and the orders of n-grams.
-WORDS_PER_LANGUAGE = 20_000
+#: Labelled documents that the model is fitted on, about so many in all, in equal shares for the
+#: languages, by hash of id and text; all of a language if it has fewer.
+TRAIN_DOCS = 12_000
+#: Orders of character n-grams.
 ORDERS = (4, 3, 2, 1)
 BACKOFF = 0.4
 SMOOTHING = 0.5
 
 _WORD = re.compile(r"[^\W\d_]+")
-CACHE_WORDS = 300_000
+#: Cells (words times languages) of a worker's table of evidence.
+CACHE_CELLS = 1_200_000
+
+
+class _LogShares:
+    """Smoothed log shares of keys in each language, of which only those seen are stored."""
+
+    def __init__(self, rows: list[tuple[str, int, int]], languages: int) -> None:
+        """``rows`` are key, language and count; a key's rows need not be together."""
+        self.index: dict[str, int] = {}
+        key = np.array([self.index.setdefault(k, len(self.index)) for k, _, _ in rows], np.int64)
+        language = np.array([i for _, i, _ in rows], np.int64)
+        code, place = np.unique(key * languages + language, return_inverse=True)
+        count = np.bincount(place, weights=[n for _, _, n in rows], minlength=len(code)) if len(rows) else np.zeros(0)
+        total = np.bincount(code % languages, weights=count, minlength=languages) if languages else np.zeros(0)
+        self.floor = np.log(SMOOTHING / (total + SMOOTHING * (len(self.index) + 1)))
+        self.language = (code % max(languages, 1)).astype(np.int32)
+        self.more = np.log((count + SMOOTHING) / SMOOTHING).astype(np.float32)
+        self.begin = np.searchsorted(code, np.arange(len(self.index) + 1) * languages)
+
+    def get(self, key: str) -> np.ndarray | None:
+        at = self.index.get(key)
+        if at is None:
+            return None
+        out = self.floor.copy()
+        span = slice(self.begin[at], self.begin[at + 1])
+        out[self.language[span]] += self.more[span]
+        return out
 
 
 @dataclass
 class LanguageModel:
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[int, dict[str, np.ndarray]]
+    words: _LogShares
+    grams: dict[int, _LogShares]
 
     def evidence(self, word: str) -> np.ndarray:
         """Log frequencies of a word in each language, by back-off where it is unseen."""
@@ -51,41 +77,37 @@ class LanguageModel:
         return np.zeros(len(self.languages))
 
 
-def _log_shares(counts: dict[str, np.ndarray], languages: int) -> dict[str, np.ndarray]:
-    total = sum(counts.values(), np.zeros(languages)) + SMOOTHING * (len(counts) + 1)
-    return {k: np.log((v + SMOOTHING) / total) for k, v in counts.items()}
-
-
-def fit(labelled: DataFrame, docs: int = TRAIN_DOCS, words: int = WORDS_PER_LANGUAGE) -> LanguageModel:
+def fit(labelled: DataFrame, docs: int = TRAIN_DOCS) -> LanguageModel:
     """Fit on ``doc_id, text, lang``; rows with a null text or language teach nothing.
 
-    Word counts are a distributed aggregation over whole texts. Only the ``words`` most frequent
-    words of each language reach the driver.
+    Word counts are a distributed aggregation over the whole texts of the sample. All its words
+    reach the driver: the sample bounds them. Null ids and repeated rows count like others. An
+    empty table gives a model without languages.
     """
     usable = labelled.filter("text is not null and lang is not null")
-    mark = F.xxhash64("doc_id")
-    cut = usable.select(mark.alias("mark")).orderBy("mark").limit(docs).agg(F.max("mark")).first()[0]
-    chosen = usable.filter(mark <= F.lit(cut))  # the texts stay where they are read
+    sizes = usable.groupBy("lang").count().collect()
+    spark = labelled.sparkSession
+    shares = spark.createDataFrame(
+        [(r["lang"], min(1.0, docs / len(sizes) / r["count"])) for r in sizes], "lang string, share double")
+    mark = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    chosen = usable.join(F.broadcast(shares), "lang").filter(mark < F.col("share"))
     counted = (
         chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]+"), 0)).alias("word"))
         .groupBy("lang", "word").agg(F.count("*").alias("n"))
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counted.withColumn("o", F.row_number().over(order)).filter(F.col("o") <= words)
-    rows = top.select("lang", "word", "n").collect()
+    rows = counted.collect()
     languages = sorted({r["lang"] for r in rows})
     place = {name: i for i, name in enumerate(languages)}
-    zero = lambda: np.zeros(len(languages))
-    counts: dict[str, np.ndarray] = defaultdict(zero)
-    grams = {order: defaultdict(zero) for order in ORDERS}
-    for lang, word, n in rows:
-        i, marked = place[lang], f"^{word}$"
-        counts[word][i] += n
-        for order in ORDERS:
+    found = [(word, place[lang], n) for lang, word, n in rows]
+    grams = {order: Counter() for order in ORDERS}
+    for word, i, n in found:
+        marked = f"^{word}$"
+        for order, counts in grams.items():
             for at in range(len(marked) - order + 1):
-                grams[order][marked[at : at + order]][i] += n
+                counts[marked[at : at + order], i] += n
     size = len(languages)
-    return LanguageModel(languages, _log_shares(counts, size), {o: _log_shares(g, size) for o, g in grams.items()})
+    tables = {order: _LogShares([(k, i, n) for (k, i), n in c.items()], size) for order, c in grams.items()}
+    return LanguageModel(languages, _LogShares(found, size), tables)
 
 
 class _Rows(dict):
@@ -105,7 +127,7 @@ class _Rows(dict):
         return row
 
     def total(self, words: list[str]) -> np.ndarray:
-        if len(self) > CACHE_WORDS:
+        if len(self) * len(self.model.languages) > CACHE_CELLS:
             self.clear()
         rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         return np.bincount(rows, minlength=len(self)) @ self.table[: len(self)] if len(rows) > 4 * len(self) else self.table[rows].sum(axis=0)
@@ -116,9 +138,11 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     A text that is null or has no letter is ``und`` with score 0, as is every text if the model
     knows no language. The score is the share of the likeliest language, evidence taken as
-    independent. Ties go to the first language by name. Other columns are not read.
+    independent. Ties go to the first language by name. Rows stand alone: repeated rows and null
+    ids give a row each, very long texts are read whole, an empty table gives no rows. Other columns,
+    whatever their names, are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by words per language
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
