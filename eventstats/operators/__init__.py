@@ -17,6 +17,7 @@ from eventstats.operators.dedup import (
 )
 from eventstats.operators.formats import LogRules, format_log, format_log_basic, malformed_rows
 from eventstats.operators.lookups import (
+    BucketedDimension,
     Dimension,
     enrich_course,
     enrich_device,

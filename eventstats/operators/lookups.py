@@ -3,11 +3,13 @@
 A lookup is a left join on one text key. Rows whose key is empty, or whose condition does
 not hold, get a null join key and so never match. A table that is measured and found small
 is broadcast; a larger one is joined by shuffle with a salted key, so that one key that
-holds a large share of the events is spread over many tasks.
+holds a large share of the events is spread over many tasks. A large table that many batches
+use is bucketed and sorted once (``BucketedDimension``); joins then shuffle only the events.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import cached_property, reduce
 
@@ -78,6 +80,45 @@ class Dimension:
         self.source.unpersist()
 
 
+class BucketedDimension(Dimension):
+    """A lookup table stored in buckets, sorted by key, at a path that all machines share.
+
+    Every key is stored once for each of ``salts``, so a key that holds much of the events is still
+    spread over as many buckets, and no batch has to repeat the table. Take at least as many buckets
+    as shuffle partitions: with fewer, Spark shuffles both sides. The table is as it was when it was
+    built; make a new one when its source has changed, and ``drop`` the old one.
+    """
+
+    def __init__(self, dim: Dimension, path: str, buckets: int = 200, salts: int = 8):
+        super().__init__(dim.source, dim.key, dim.columns, dim.broadcast_bytes)
+        self.spark = dim.source.sparkSession
+        self.salts = salts
+        self.name = f"lookup_{uuid.uuid4().hex}"
+        copies = dim.rows.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        (
+            copies.repartition(buckets, _KEY, _SALT)
+            .write.bucketBy(buckets, _KEY, _SALT)
+            .sortBy(_KEY, _SALT)
+            .option("path", path)
+            .format("parquet")
+            .saveAsTable(self.name)
+        )
+
+    def join(self, left: DataFrame) -> DataFrame:
+        """Add the found struct to rows that carry the join key.
+
+        Rows without a key get one that no table has, a different one in every task.
+        """
+        task = F.spark_partition_id()
+        none = F.concat(F.lit("\0"), task.cast("string"))
+        keyed = left.withColumns({_SALT: F.pmod(task, F.lit(self.salts)), _KEY: F.coalesce(_KEY, none)})
+        return keyed.join(self.spark.table(self.name).hint("merge"), [_KEY, _SALT], "left")
+
+    def drop(self) -> None:
+        """Forget the table; the files at its path are the caller's."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
 def lookup_rules(
     df: DataFrame,
     dim: Dimension,
@@ -89,12 +130,15 @@ def lookup_rules(
 ) -> DataFrame:
     """Join once, then apply the rules one after another.
 
-    ``strategy`` is "auto" (by measured size), "broadcast" (fails beyond the limit) or
-    "shuffle".
+    ``strategy`` is "auto" (broadcast by measured size, else by buckets if the table has them,
+    else by shuffle), "broadcast" (fails beyond the limit), "bucketed" or "shuffle".
     """
-    if strategy not in ("auto", "broadcast", "shuffle"):
+    if strategy not in ("auto", "broadcast", "bucketed", "shuffle"):
         raise ValueError(f"unknown lookup strategy {strategy!r}")
-    small = strategy != "shuffle" and dim.is_small()
+    in_buckets = isinstance(dim, BucketedDimension)
+    if strategy == "bucketed" and not in_buckets:
+        raise ValueError("the lookup table has no buckets")
+    small = strategy in ("auto", "broadcast") and dim.is_small()
     if strategy == "broadcast" and not small:
         raise ValueError(f"lookup table of {dim.size_bytes} bytes is over the broadcast limit")
 
@@ -105,6 +149,8 @@ def lookup_rules(
     left = df.withColumn(_KEY, F.when(usable, F.col(key).cast("string")))
     if small:
         joined = left.join(F.broadcast(dim.rows), _KEY, "left")
+    elif in_buckets and strategy != "shuffle":
+        joined = dim.join(left)
     else:
         joined = salted_join(left, dim.rows, [_KEY], "left", salts, nulls_match=False)
     joined = joined.select(*names, _FOUND)

@@ -147,3 +147,22 @@ def test_unused_lookups_leave_the_plan(spark):
         spark.createDataFrame([("5", "x")], "id string, date_joined string"), "id", ["date_joined"]
     )
     assert "Join" not in plan_of(op.enrich_user(df, users).select("course_id"))
+
+
+def test_bucketed_table_is_not_shuffled(spark, tmp_path):
+    """Two joins, one exchange of the events each; null, blank and unknown keys; a hot key is spread."""
+    table = spark.createDataFrame([(f"k{i}", i) for i in range(500)] + [("k0", -1), (None, 3), ("", 4)], "k string, v int")
+    dim = op.BucketedDimension(op.Dimension(table, "k", ["v"], broadcast_bytes=0), str(tmp_path / "t"), buckets=16, salts=4)
+    rows = [("k7" if i % 3 == 0 else f"k{i % 700}" if i % 7 else None if i % 2 else "", i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "key string, n int").repartition(8)
+    found = op.lookup_join(df, dim, "key", ["v"])  # "auto": too large to broadcast, so by buckets
+    want = {f"k{i}": i for i in range(500)}
+    assert sorted((r["n"], r["key"], r["v"]) for r in found.collect()) == sorted((n, k, want.get(k)) for k, n in rows)
+    plan = plan_of(op.lookup_join(found, dim, "key", {"v": "w"}))
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Bucketed: true") == 2
+    assert plan.count("hashpartitioning") == 2
+    sizes = found.filter("key = 'k7'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1
+    dim.drop()
+    with pytest.raises(ValueError):
+        op.lookup_join(df, op.Dimension(table, "k", ["v"]), "key", strategy="bucketed")

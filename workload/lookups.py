@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from eventstats import operators as op
 from eventstats.operators.dedup import drop_seen_in_adjacent_batch
 from eventstats.operators.lookups import device_rule, lookup_rules
+from eventstats.streaming import shared_dir
 from workload import inputs
 from workload.oracle import sql
 from workload.registry import query
@@ -166,6 +167,30 @@ def lookup_broadcast_vs_shuffle(spark, sf_dir):
     return both.select("event_id", "by_broadcast", F.col("date_joined").alias("by_shuffle"))
 
 
+@query(
+    "lookup_bucketed",
+    sql(
+        """SELECT event_id, channel, coalesce(date_joined, '') AS date_joined FROM tracking t
+LEFT JOIN auth_user ON user_id = id AND regexp_full_match(user_id, '[0-9]+')
+LEFT JOIN device_info d ON t.uuid = d.uuid""",
+        "tracking",
+        "auth_user",
+        "device_info",
+    ),
+)
+def lookup_bucketed(spark, sf_dir):
+    """Two tables bucketed and sorted once; their joins shuffle the events only."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    users, devices = (
+        op.BucketedDimension(dim, shared_dir(spark, "lookup"), buckets)
+        for dim in (inputs.users(spark, sf_dir), inputs.devices(spark, sf_dir))
+    )
+    df = inputs.tracking(spark, sf_dir).select("event_id", "user_id", "uuid")
+    df = op.enrich_user(df, users, strategy="bucketed")
+    df = op.lookup_join(df, devices, "uuid", ["channel"], strategy="bucketed")
+    return df.select("event_id", "channel", "date_joined")
+
+
 # --- repeats -------------------------------------------------------------------------------
 
 _LENGTHS = {"minutely": 16, "hourly": 13, "daily": 10, "monthly": 7, "yearly": 4, "all": 0}

@@ -25,6 +25,7 @@ from eventstats.streaming import (
     run_stream,
     shared_dir,
     tumbling_counts,
+    window_counts,
 )
 from workload import inputs
 from workload.oracle import CANONICAL, sql, stat_sql
@@ -358,11 +359,11 @@ def stream_adjacent_batch(spark, sf_dir):
     return out.read()
 
 
-@query(
-    "stream_tumbling",
-    """SELECT strftime(time_bucket(INTERVAL 10 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS start_time,
-  event_type, CAST(count(*) AS BIGINT) AS "value" FROM events GROUP BY ALL""",
-)
+_TUMBLING_SQL = """SELECT strftime(time_bucket(INTERVAL 10 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS start_time,
+  event_type, CAST(count(*) AS BIGINT) AS "value" FROM events GROUP BY ALL"""
+
+
+@query("stream_tumbling", _TUMBLING_SQL)
 def stream_tumbling(spark, sf_dir):
     """Ten-minute windows kept by Spark's own state, under a watermark."""
     out = BatchTable(spark, shared_dir(spark, "out"))
@@ -530,3 +531,29 @@ def flow_observed(spark, sf_dir):
 
     run_arrivals(spark, sf_dir, on_batch)
     return tally.current().drop("doc_id")
+
+
+@query("stream_tumbling_late", _TUMBLING_SQL)
+def stream_tumbling_late(spark, sf_dir):
+    """The windows over three batches, two of them with rows behind the watermark.
+
+    What Spark's state would drop is divided off first and added by a table of totals, so the
+    result is that of all rows.
+    """
+    on_time, checkpoint = shared_dir(spark, "on-time"), shared_dir(spark, "checkpoint")
+    out, late = BatchTable(spark, shared_dir(spark, "out")), TallyTable(spark, shared_dir(spark, "late"))
+    lateness = Lateness(spark, shared_dir(spark, "lines"), "1 hour", "ts")
+    schema = inputs.table(spark, sf_dir, "events").schema
+
+    def divide(batch, batch_id):
+        in_time, too_late = lateness.split(batch, batch_id)
+        in_time.write.mode("overwrite").parquet(f"{on_time}/batch-{batch_id}")
+        late.add_batch(window_counts(too_late, "ts", "10 minutes", ["event_type"]), batch_id)
+        stream = read_log_stream(spark, path=f"{on_time}/*", schema=schema)
+        counts = tumbling_counts(stream, "ts", "10 minutes", ["event_type"], "1 hour")
+        run_stream(counts, out.write_batch, checkpoint, output_mode="update")
+
+    run_arrivals(spark, sf_dir, divide, LATE_ARRIVALS)
+    windows = latest_windows(out, ["event_type"]).unionByName(late.current().drop("doc_id"))
+    start = F.col("start").cast("string").alias("start_time")
+    return windows.groupBy(start, "event_type").agg(F.sum("value").alias("value"))
