@@ -27,9 +27,8 @@ EVENT_FIELDS = ("uid", "user_id", "uuid", "username", "course_id")
 CONTEXT_FIELDS = ("user_id", "course_id")
 
 _BAD = "_unparsed"
-_NUMBERS = (
-    "struct<uid: bigint, event: struct<uid: bigint>, context: struct<user_id: bigint>>"
-)
+#: Fields whose JSON type the strict user id policy looks at; it reads them as variants.
+_TYPED = ("uid", "event.uid", "context.user_id")
 
 
 @dataclass(frozen=True)
@@ -69,12 +68,11 @@ def format_log(
     strict = user_id_policy == "strict"
     parsed, malformed = _parse(df, value_col, keep, strict)
     j = _reader("j")
-    numbers = _reader("n")
     event_username, event_uuid = j("event.username"), j("event.uuid")
 
     if strict:
         user_id = resolve_user_id_strict(
-            [numbers("event.uid"), numbers("context.user_id"), numbers("uid")],
+            [_json_integer(j(path)) for path in ("event.uid", "context.user_id", "uid")],
             event_username,
             event_uuid,
         )
@@ -152,21 +150,25 @@ def _parse(
     lines it reported.
     """
 
-    def text_fields(names: Sequence[str]) -> str:
-        return ", ".join(f"{name}: string" for name in names)
+    def fields(names: Sequence[str], parent: str = "") -> str:
+        kinds = {n: "variant" if strict and parent + n in _TYPED else "string" for n in names}
+        return ", ".join(f"{name}: {kind}" for name, kind in kinds.items())
 
     schema = (
-        f"struct<{text_fields(TOP_FIELDS)}, event: struct<{text_fields(EVENT_FIELDS)}>, "
-        f"context: struct<{text_fields(CONTEXT_FIELDS)}>, {_BAD}: string>"
+        f"struct<{fields(TOP_FIELDS)}, event: struct<{fields(EVENT_FIELDS, 'event.')}>, "
+        f"context: struct<{fields(CONTEXT_FIELDS, 'context.')}>, {_BAD}: string>"
     )
     value = F.col(value_col)
-    parts = [F.from_json(value, schema, {"columnNameOfCorruptRecord": _BAD}).alias("j")]
-    if strict:
-        parts.append(F.from_json(value, _NUMBERS).alias("n"))
-    parsed = df.select(*keep, value.alias("_line"), F.inline(F.array(F.struct(*parts))))
+    read = F.from_json(value, schema, {"columnNameOfCorruptRecord": _BAD}).alias("j")
+    parsed = df.select(*keep, value.alias("_line"), F.inline(F.array(F.struct(read))))
     unread = F.col("j").isNull() | F.col(f"j.{_BAD}").isNotNull()
     return parsed, unread & F.try_parse_json(F.col("_line")).isNull()
 
 
+def _json_integer(value: Column) -> Column:
+    """A variant that is a JSON integer of 64 bits, as a number; null for any other."""
+    return F.when(F.schema_of_variant(value) == "BIGINT", F.try_variant_get(value, "$", "bigint"))
+
+
 def _reader(root: str):
     return lambda path: F.col(f"{root}.{path}")

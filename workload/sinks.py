@@ -29,7 +29,12 @@ _SETS = [("L1", "host", ["host"]), ("L2", "platform", ["platform"])]
 _COUNTS = stat_sql("tracking", _SETS, ["host", "platform"], "activity", "visits")
 
 
-THIRDS = ("day(ts) <= 10", "day(ts) BETWEEN 11 AND 20", "day(ts) > 20")
+# The month of events in three parts, as ranges that the scan can skip files by.
+THIRDS = (
+    "ts < TIMESTAMP_NTZ'2024-01-11'",
+    "ts >= TIMESTAMP_NTZ'2024-01-11' AND ts < TIMESTAMP_NTZ'2024-01-21'",
+    "ts >= TIMESTAMP_NTZ'2024-01-21'",
+)
 
 
 def _third(spark, sf_dir, part: str, targets=("L1", "L2")):

@@ -118,7 +118,7 @@ def stream_flow(spark, sf_dir):
             "prepares": [
                 {"id": 1, **plugin, "fn": inputs.enhance_time},
                 {"id": 2, **plugin,
-                 "fn": lambda df: inputs.enrich_device(df, inputs.devices(spark, sf_dir))},
+                 "fn": lambda df: inputs.enrich_device(df, inputs.new_devices(spark, sf_dir))},
                 {"id": 3, **plugin, "fn": metrics.with_period},
             ],
             "sets": [
