@@ -16,10 +16,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path in a folder that driver and executors share.
 
     That is the folder of ``spark.checkpoint.dir``; where it is unset, the checkpoint folder
-    of the context, else the warehouse.
+    of the context. In a session on one machine the warehouse serves as well; on a cluster it
+    may be a folder of the driver's own, so there one of the two has to be set.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    base = base or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

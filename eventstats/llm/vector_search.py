@@ -72,7 +72,8 @@ def top_k(
     ``vectors`` and ``queries`` are ``vec_id, v`` with integer components and no nulls. A query
     never finds rows with its own id. Ties go to the smaller id; with fewer than k candidates
     all are given. Vectors are compared with queries of the same number of components only;
-    repeated rows count each. Empty tables give no rows.
+    repeated rows count each. Empty tables give no rows. Components so large that a square sum
+    leaves 64 bits are an error (ARITHMETIC_OVERFLOW), not a wrong score.
     """
     found = []
     for size, in vectors.select(F.size("v")).distinct().collect():
