@@ -12,6 +12,7 @@ and ``enabled`` (default true). Its other entries depend on type and method:
     spark-sql              select: list of expressions, where: predicate
     compute / spark-sql    select, where, and stat: StatSpec
     plugin                 fn: DataFrame -> DataFrame
+    table-function         name of a registered table function, args after the table
 
 A compute step may have ``output``, a DataFrame -> DataFrame applied to its result on the way
 to the sink, and a sink of its own (see ``Flow.on_batch``).
@@ -28,11 +29,12 @@ from pyspark.sql.types import DataType, StructType
 
 from eventstats.operators.columns import select_then_where
 from eventstats.operators.stats import statistics
+from eventstats.plans.table_functions import apply_table_function
 
 Sink = Callable[[DataFrame, int], None]
 
 STEP_TYPES = ("filter", "enhance", "compute")
-STEP_METHODS = ("spark-sql", "plugin")
+STEP_METHODS = ("spark-sql", "plugin", "table-function")
 
 
 def run_step(df: DataFrame, step: Mapping) -> DataFrame:
@@ -41,6 +43,8 @@ def run_step(df: DataFrame, step: Mapping) -> DataFrame:
         raise ValueError(f"unsupported step {step.get('id')!r}: type {kind!r}, method {method!r}")
     if method == "plugin":
         return df.transform(step["fn"])
+    if method == "table-function":
+        return apply_table_function(df, step["name"], step.get("args", ()))
     df = select_then_where(df, step.get("select"), step.get("where"))
     return statistics(df, step["stat"]) if kind == "compute" else df
 

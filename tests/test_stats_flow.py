@@ -222,3 +222,26 @@ def test_step_sinks_and_output_hooks(spark):
     assert got == {"set": [("a", 2), ("b", 1)], "step": [("a", 2)]}
     flow.on_batch({}, {(1, 1): sink("one"), (1, 2): sink("two")})(df, 0)
     assert got["one"] == [("a", 2), ("b", 1)] and got["two"] == [("a", 2)]
+
+
+def test_table_function(spark):
+    """Groups of rows by key, from a flow step and from SQL; nulls, ties, wrong arguments, no rows."""
+    from eventstats.plans.table_functions import apply_table_function, register
+
+    register(spark)
+    rows = [(k, i % 4, "x") for k in ("a", "b", None) for i in range(7)]
+    df = spark.createDataFrame(rows, "k string, n int, text string").repartition(3)
+    out = apply_table_function(df, "grouped_rows", ["k", "n", 3]).collect()
+    found = {}
+    for r in sorted(out, key=lambda r: (r["k"] or "", r["group_no"], r["place"])):
+        found.setdefault(r["k"], []).append((r["group_no"], r["place"], r["n"]))
+    order = [0, 0, 1, 1, 2, 2, 3]
+    assert found == {k: [(i // 3, i % 3, n) for i, n in enumerate(order)] for k in ("a", "b", None)}
+    df.createOrReplaceTempView("rows_of_test")
+    assert spark.sql("SELECT * FROM grouped_rows(TABLE(rows_of_test), 'k', 'n', 100) WHERE group_no = 0").count() == 21
+    assert apply_table_function(df.limit(0), "grouped_rows", ["k", "n", 3]).count() == 0
+    for args in (["none", "n", 3], ["k", "n", 0]):
+        with pytest.raises(Exception, match="no column|at least 1"):
+            apply_table_function(df, "grouped_rows", args).collect()
+    with pytest.raises(ValueError):
+        apply_table_function(df, "grouped_rows(); DROP", [])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventstats import operators as op
 from eventstats.plans import Flow, apply_rows_in_batches, metrics, record_udf, run_step
+from eventstats.plans.table_functions import register
 from workload import inputs
 from workload.oracle import sql
 from workload.registry import query
@@ -152,3 +153,19 @@ def batched_partition_udf(spark, sf_dir):
 
     df = inputs.tracking(spark, sf_dir).select("event_id", "user_id")
     return apply_rows_in_batches(df, sizes, "event_id bigint, size bigint", 50)
+
+
+@query(
+    "plugin_udtf",
+    sql(
+        """SELECT event_id, host, (row_number() OVER w - 1) // 50 AS group_no, (row_number() OVER w - 1) % 50 AS place
+FROM tracking WINDOW w AS (PARTITION BY host ORDER BY event_id)""",
+        "tracking",
+    ),
+)
+def plugin_udtf(spark, sf_dir):
+    """A flow step that calls a table function, which chooses its partitioning and order itself."""
+    register(spark)
+    step = {"id": 1, "type": "enhance", "method": "table-function", "name": "grouped_rows",
+            "args": ["host", "event_id", 50]}
+    return run_step(inputs.tracking(spark, sf_dir).select("event_id", "host"), step)
