@@ -46,7 +46,7 @@ def test_enrich_device(spark, strategy):
     out = op.enrich_device(df, devices(spark), strategy=strategy)
     got = {r["id"]: (r["origin_referer"], r["spam"], r["user_id"]) for r in out.collect()}
     want = dict(enumerate(DEVICE_CASES.values()))
-    # The reference referer ' ' is blank, so the no-match branch calls it unknown.
+    # The referer ' ' is blank, so the no-match branch calls it unknown.
     want[list(DEVICE_CASES).index(("d9", " ", "s", "x"))] = ("unknown", "s", "x")
     assert got == want
     assert out.columns == df.columns
