@@ -28,6 +28,8 @@ SMOOTHING = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 #: Cells (words times languages) of a worker's table of evidence.
 CACHE_CELLS = 1_200_000
+#: Cells up to which a table of the model is laid out in full.
+DENSE_CELLS = 4_000_000
 
 
 class _LogShares:
@@ -46,13 +48,20 @@ class _LogShares:
         self.more = np.log((count + SMOOTHING) / SMOOTHING).astype(np.float32)
         self.begin = np.searchsorted(code, np.arange(len(self.index) + 1) * languages)
 
-    def get(self, key: str) -> np.ndarray | None:
-        at = self.index.get(key)
-        if at is None:
-            return None
-        out = self.floor.copy()
-        span = slice(self.begin[at], self.begin[at + 1])
-        out[self.language[span]] += self.more[span]
+        self.dense: np.ndarray | None = None
+
+    def rows(self, places: list[int]) -> np.ndarray:
+        """The log shares of keys by their places; with few languages they are laid out once."""
+        if self.dense is None and len(self.index) * len(self.floor) <= DENSE_CELLS:
+            key = np.repeat(np.arange(len(self.index)), np.diff(self.begin))
+            self.dense = np.tile(self.floor, (len(self.index), 1))
+            self.dense[key, self.language] += self.more
+        if self.dense is not None:
+            return self.dense[places]
+        out = np.tile(self.floor, (len(places), 1))
+        for row, at in enumerate(places):
+            span = slice(self.begin[at], self.begin[at + 1])
+            out[row, self.language[span]] += self.more[span]
         return out
 
 
@@ -64,16 +73,16 @@ class LanguageModel:
 
     def evidence(self, word: str) -> np.ndarray:
         """Log frequencies of a word in each language, by back-off where it is unseen."""
-        if (known := self.words.get(word)) is not None:
-            return known
+        if (known := self.words.index.get(word)) is not None:
+            return self.words.rows([known])[0]
         marked = f"^{word}$"
         discount = 0.0
         for order in ORDERS:
             discount += np.log(BACKOFF)
             table = self.grams[order]
-            found = [g for i in range(len(marked) - order + 1) if (g := table.get(marked[i : i + order])) is not None]
+            found = [at for i in range(len(marked) - order + 1) if (at := table.index.get(marked[i : i + order])) is not None]
             if found:
-                return np.mean(found, axis=0) + discount
+                return table.rows(found).sum(axis=0) / len(found) + discount
         return np.zeros(len(self.languages))
 
 
