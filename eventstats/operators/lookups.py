@@ -201,7 +201,9 @@ def salted_join(
     The salt of a left row comes from the task that holds it, which spreads exact copies as
     well and does not change when a task is run again. The right side, one row per key, is
     repeated once per salt. With ``nulls_match=False`` a null key matches nothing and its
-    rows are spread over all tasks. Spark's adaptive skew join may split further.
+    rows are spread over all tasks. Spark's adaptive skew join may split further. The hint keeps
+    the join a shuffle: Spark's estimate counts neither the copies for the salts nor what the
+    file's compression saves, so the right side could look small enough to be sent to the driver.
     """
     right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     right = right.withColumnsRenamed({k: f"_r{k}" for k in [*keys, _SALT]})
@@ -215,7 +217,7 @@ def salted_join(
     for k in keys:
         other = right[f"_r{k}"]
         on = on & (left[k].eqNullSafe(other) if nulls_match else left[k] == other)
-    return left.join(right, on, how).drop(_SALT, *[f"_r{k}" for k in [*keys, _SALT]])
+    return left.join(right.hint("merge"), on, how).drop(_SALT, *[f"_r{k}" for k in [*keys, _SALT]])
 
 
 # --- rules -------------------------------------------------------------------------------

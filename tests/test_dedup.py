@@ -163,3 +163,11 @@ def test_adjacent_batches_equal_brute_force(events, rows):
         keys.setdefault(int(row[3][15]), set()).add(row[1])
     want = {r[0] for r in rows if r[1] not in keys.get(int(r[3][15]) - 1, set())}
     assert {r["event_id"] for r in kept} == want
+
+
+def test_keys_of_the_batch_before_are_not_sent_to_the_driver(spark):
+    batches = spark.range(600).selectExpr("id", "concat('u', id % 7) AS user_id", "id div 5 AS batch")
+    kept = drop_seen_in_adjacent_batch(batches, "user_id", "batch")
+    want = {i for i in range(600) if i < 5 or not any(j % 7 == i % 7 for j in range(i // 5 * 5 - 5, i // 5 * 5))}
+    assert {r["id"] for r in kept.collect()} == want
+    assert "SortMergeJoin" in plan_of(kept) and "Broadcast" not in plan_of(kept)

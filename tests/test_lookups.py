@@ -132,6 +132,17 @@ def test_salted_join_matches_null_keys_only_when_asked(spark):
     assert {r["v"] for r in joined.collect()} == {None, 2}
 
 
+def test_salted_join_sends_no_table_to_the_driver(spark, tmp_path):
+    """The file looks small, and at run time the table is; its copies for the salts stay in a shuffle."""
+    spark.range(500).selectExpr("concat('d', id) AS uuid", "concat('', id) AS uid").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    df = spark.range(2000).selectExpr("id", "CASE WHEN id % 5 > 0 THEN concat('d', id) END AS uuid")
+    out = op.lookup_join(df, op.Dimension(table, "uuid", ["uid"], broadcast_bytes=0), "uuid")
+    got = {r["id"]: r["uid"] for r in out.collect()}
+    assert got == {i: str(i) if i < 500 and i % 5 else None for i in range(2000)}
+    assert "SortMergeJoin" in plan_of(out) and "Broadcast" not in plan_of(out)
+
+
 def test_rules_see_the_columns_set_before(spark):
     df = spark.createDataFrame([("d1",)], "uuid string")
     rules = [
