@@ -81,13 +81,19 @@ def union_streams(sources: Mapping[str, DataFrame], label: str = "source") -> Da
 
 
 def spread(df: DataFrame, *columns: str, at_least: int | None = None) -> DataFrame:
-    """Shuffle a scan only when it has fewer splits than there are cores.
+    """Shuffle a scan only when fewer of its splits hold rows than there are cores.
 
-    One small file is one task whatever the cluster size. A large input already has more
-    splits than cores and is left as it is. ``columns`` should identify a row.
+    One small file is one task whatever the cluster size, and so is a large one that is a single row
+    group: Spark cuts it into many splits, and the one with the group's middle gets all rows. A large
+    input with rows in more splits than cores is left as it is. The splits are counted by a scan that
+    reads no column. ``columns`` should identify a row.
     """
     wanted = at_least or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, *columns) if df.rdd.getNumPartitions() < wanted else df
+    if df.rdd.getNumPartitions() >= wanted:
+        filled = df.select(F.spark_partition_id().alias("split")).distinct().count()
+        if filled >= wanted:
+            return df
+    return df.repartition(wanted, *columns)
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:

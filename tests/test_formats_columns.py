@@ -182,3 +182,17 @@ def test_spread_only_widens_small_inputs(spark):
     assert sources.spread(one, "id").rdd.getNumPartitions() == 8
     many = spark.range(0, 100, 1, 20)
     assert "Exchange" not in plan_of(sources.spread(many, "id"))
+
+
+def test_spread_sees_splits_without_rows(spark, tmp_path):
+    """One row group in many splits is one task's work."""
+    spark.range(5000).coalesce(1).write.option("compression", "none").parquet(str(tmp_path / "one"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        one = spark.read.parquet(str(tmp_path / "one"))
+        assert one.rdd.getNumPartitions() >= 8
+        rows = sources.spread(one, "id")
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 5000 and len(sizes) == 8 and max(sizes) < 1000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
