@@ -2,9 +2,9 @@
 
 Long texts are cut into overlapping chunks that are pre-tokenised in parallel. Two neighbours
 agree from the first boundary that both have in their overlap, because a match of the pattern
-depends only on the text from its start on. The text is cut at these boundaries, the pieces are
-encoded in parallel, and the ids of a text are put together in order. A text no longer than a
-chunk is a single piece. Decoding concatenates the bytes of the ids.
+depends only on the text from its start on. The text is cut at these boundaries, save those behind
+white space, whose matches look at what follows. The pieces are encoded in parallel, and the ids of
+a text are put together in order. A text no longer than a chunk is a single piece. Decoding concatenates the bytes of the ids.
 """
 
 from __future__ import annotations
@@ -175,8 +175,12 @@ def _encode_rows(vocabulary: str, pattern: str, decoded: bool, rows: int = 256):
 
 
 def chunk_bounds(text: str, pattern: str, last: bool, overlap: int, first: bool) -> tuple[list[int], list[int]]:
-    """Boundaries of a chunk in the overlaps with the chunk before and with the chunk after."""
-    ends = [m.end() for m in compiled(pattern).finditer(text)]
+    """Boundaries of a chunk in the overlaps with the chunk before and with the chunk after.
+
+    Those behind white space are left out: matches of white space may depend on the character behind
+    them, so a piece that ends there could fall apart otherwise than in the whole text.
+    """
+    ends = [m.end() for m in compiled(pattern).finditer(text) if not text[m.end() - 1].isspace()]
     head = [] if first else [e for e in ends if e <= overlap]
     safe = len(text) - LOOKAHEAD
     tail = [] if last else [e for e in ends if len(text) - overlap < e <= safe]

@@ -9,7 +9,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from eventstats.llm.byte_bpe import decode_documents, encode_documents, encode_pretoken, load_ranks
+from eventstats.llm.byte_bpe import CHUNK, decode_documents, encode_documents, encode_pretoken, load_ranks
 from eventstats.llm.queries import QUERIES
 from eventstats.llm.token_count import count_tokens, load_counter
 
@@ -45,6 +45,15 @@ def test_encoding_equals_the_library(spark, library):
             assert bytes(r["decoded"]) == text.encode() and r["n_tokens"] == len(r["ids"]) // 4
 
 
+def test_a_text_is_not_cut_behind_white_space(spark, library):
+    """The first boundary that both chunks have is behind white space of which two characters merge."""
+    spaces = (" \xa0", "\n \x85", " \u2009")
+    texts = ["x" * (CHUNK + 1 - len(space)) + space + "word " * 300 for space in spaces]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in encode_documents(df, RANKS, P.PATTERN).collect()}
+    assert got == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
 def test_long_pretoken_takes_no_quadratic_time(library):
     data = ("ab" * 200_000).encode()
     assert encode_pretoken(data[:4000], load_ranks(RANKS)) == library.encode_ordinary("ab" * 2000)
