@@ -28,6 +28,8 @@ from eventstats.functions.values import is_user_number
 Rule = Callable[[Column], Mapping[str, Column]]
 
 _KEY, _FOUND, _SALT = "_lookup_key", "_found", "_salt"
+#: Bytes a row takes in a hash table beyond its own: the key once more, as a row, and the slots.
+_HASHED = 56
 
 
 class Dimension:
@@ -56,19 +58,29 @@ class Dimension:
         )
 
     @cached_property
+    def _measured(self) -> tuple[int, int]:
+        """Rows' bytes and the same with the hash table: one distributed aggregate per table object."""
+
+        def length(c: str) -> Column:
+            return F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+
+        width = sum((length(c) + F.lit(16) for c in self.source.columns), F.lit(16))
+        held = width + length(self.key) + F.lit(_HASHED)
+        sums = self.source.agg(F.sum(width.cast("bigint")), F.sum(held.cast("bigint"))).first()
+        return sums[0] or 0, sums[1] or 0
+
+    @property
     def size_bytes(self) -> int:
-        """Measured size of keys and columns, one distributed aggregate per table object."""
-        width = sum(
-            (
-                F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + F.lit(16)
-                for c in self.source.columns
-            ),
-            F.lit(16),
-        )
-        return self.source.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+        """Measured size of keys and columns."""
+        return self._measured[0]
+
+    @property
+    def held_bytes(self) -> int:
+        """Measured size of the hash table that a broadcast builds in the driver."""
+        return self._measured[1]
 
     def is_small(self) -> bool:
-        return self.size_bytes <= self.broadcast_bytes
+        return self.held_bytes <= self.broadcast_bytes
 
     def persist(self) -> Dimension:
         """Keep the table's columns on the executors, for a source that is slow to read. A
@@ -130,17 +142,18 @@ def lookup_rules(
 ) -> DataFrame:
     """Join once, then apply the rules one after another.
 
-    ``strategy`` is "auto" (broadcast by measured size, else by buckets if the table has them,
-    else by shuffle), "broadcast" (fails beyond the limit), "bucketed" or "shuffle".
+    ``strategy`` is "auto" (broadcast if the table's hash table is within the limit, else by buckets
+    if the table has them, else by shuffle), "broadcast" (fails if the rows alone are beyond the
+    limit), "bucketed" or "shuffle".
     """
     if strategy not in ("auto", "broadcast", "bucketed", "shuffle"):
         raise ValueError(f"unknown lookup strategy {strategy!r}")
     in_buckets = isinstance(dim, BucketedDimension)
     if strategy == "bucketed" and not in_buckets:
         raise ValueError("the lookup table has no buckets")
-    small = strategy in ("auto", "broadcast") and dim.is_small()
-    if strategy == "broadcast" and not small:
+    if strategy == "broadcast" and dim.size_bytes > dim.broadcast_bytes:
         raise ValueError(f"lookup table of {dim.size_bytes} bytes is over the broadcast limit")
+    small = strategy == "broadcast" or strategy == "auto" and dim.is_small()
 
     names = df.columns
     usable = null_to_empty(F.col(key).cast("string")) != ""

@@ -104,6 +104,19 @@ def test_strategy_follows_the_measured_size(spark):
         op.lookup_join(df, tight, "uuid", ["uid"], strategy="guess")
 
 
+def test_the_limit_holds_for_the_hash_table_not_only_for_its_rows(spark):
+    table = spark.range(1000).selectExpr("concat('d', id) AS uuid", "concat('', id) AS uid")
+    df = spark.range(2000).selectExpr("id", "concat('d', id) AS uuid")
+    limit = op.Dimension(table, "uuid", ["uid"]).size_bytes
+    dim = op.Dimension(table, "uuid", ["uid"], broadcast_bytes=limit)
+    assert dim.held_bytes > limit
+    by_size, by_name = (op.lookup_join(df, dim, "uuid", strategy=s) for s in ("auto", "broadcast"))
+    assert "Broadcast" not in plan_of(by_size) and "BroadcastHashJoin" in plan_of(by_name)
+    assert sorted(by_size.collect()) == sorted(by_name.collect())
+    assert by_size.filter("uid IS NOT NULL").count() == 1000
+    assert op.Dimension(table, "uuid", ["uid"], broadcast_bytes=dim.held_bytes).is_small()
+
+
 def test_a_hot_key_is_spread_over_tasks(spark):
     """A third of the rows share one key and a third have none; no task gets either third."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
