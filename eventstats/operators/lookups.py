@@ -165,7 +165,7 @@ def lookup_rules(
     elif in_buckets and strategy != "shuffle":
         joined = dim.join(left)
     else:
-        joined = salted_join(left, dim.rows, [_KEY], "left", salts, nulls_match=False)
+        joined = salted_join(left, dim.rows, [_KEY], "left", salts, nulls_match=False, unique=True)
     joined = joined.select(*names, _FOUND)
     for rule in rules:
         joined = joined.withColumns(dict(rule(F.col(_FOUND))))
@@ -208,6 +208,7 @@ def salted_join(
     how: str,
     salts: int,
     nulls_match: bool = True,
+    unique: bool = False,
 ) -> DataFrame:
     """Join on ``keys`` that spreads each left key over ``salts`` tasks.
 
@@ -217,8 +218,12 @@ def salted_join(
     rows are spread over all tasks. Spark's adaptive skew join may split further. The hint keeps
     the join a shuffle: Spark's estimate counts neither the copies for the salts nor what the
     file's compression saves, so the right side could look small enough to be sent to the driver.
+    ``unique`` keeps one copy of a key and salt. Where the right side has one row per key that changes
+    no row, but Catalyst does not see it through the copies; told, it drops a left join nobody reads.
     """
     right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if unique:
+        right = right.dropDuplicates([*keys, _SALT])
     right = right.withColumnsRenamed({k: f"_r{k}" for k in [*keys, _SALT]})
     task = F.spark_partition_id()
     salt = F.pmod(task, F.lit(salts))
