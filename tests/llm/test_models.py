@@ -10,7 +10,7 @@ import re
 import numpy as np
 import pytest
 
-from eventstats.llm import common, language, toxicity
+from eventstats.llm import common, language, queries_models, toxicity
 from eventstats.llm.exact_dedup import DigestIndex, exact_dedup
 from eventstats.llm.queries import QUERIES
 from eventstats.llm.toxicity import STATE, Network, _Gates, score_documents, score_texts, text_evidence, training_texts
@@ -201,3 +201,25 @@ def test_a_worker_holds_one_operators_state():
     assert common.worker_state(("a",), make("a")) is first
     common.worker_state(("b",), make("b"))
     assert common.worker_state(("a",), make("a")) is not first and made == ["a", "b", "a"]
+
+
+def test_blocks_of_words_are_embedded_like_all_words_at_once(monkeypatch):
+    words = ["a", "toxicity", "", "é" * 9, "of", "documents", "x" * 40]
+    codes, _ = toxicity.gram_codes(words)
+    net = toxicity.Network(vocabulary={"of": 1, "a": 2}, codes=np.unique(codes)[::2])
+    whole = [toxicity.gram_codes(words), net.rows(words)]
+    for block in (1, 3, 7):
+        monkeypatch.setattr(toxicity, "BLOCK_WORDS", block)
+        for one, other in zip(whole, [toxicity.gram_codes(words), net.rows(words)], strict=True):
+            for a, b in zip(one, other, strict=True):
+                assert a.dtype == b.dtype and np.array_equal(a, b)
+
+
+def test_the_driver_gives_back_what_the_training_freed(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(toxicity, "training_texts", lambda docs, labels: (["t"], [1]))
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: steps.append("train") or "net")
+    monkeypatch.setattr(queries_models, "release_memory", lambda: steps.append("release"))
+    empty = spark.createDataFrame([], "doc_id long")
+    assert queries_models.fit_toxicity(empty, empty) == "net" and steps == ["train", "release"]
+    common.release_memory()
