@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventstats.llm.common import WORDS, stored, text_or_empty
+from eventstats.llm.common import WORDS, leaving_nothing, stored, stream_leaving_nothing, text_or_empty
 from eventstats.llm.components import components
 
 #: Words in a shingle, and the least similarity in hundredths.
@@ -32,6 +32,8 @@ PERCENT = 75
 #: Sets and shingles that one side of a tile holds, about.
 TILE_SETS = 2048
 TILE_SHINGLES = 1 << 20
+#: Counts of the product, and hits, that are held at once, about; a dozen arrays of this length are.
+TILE_PRODUCT = 1 << 18
 #: Entries that a block of columns holds, about.
 BLOCK_ENTRIES = 1 << 22
 #: Documents of a map batch that are packed together, and entries of the cache of word hashes.
@@ -154,7 +156,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple
     owner = np.repeat(np.arange(len(right)), [len(g) for g in right])
     order = np.argsort(columns, kind="stable")
     columns, owner = columns[order], owner[order]
-    step = max(1, (1 << 21) // len(right))
+    step = max(1, TILE_PRODUCT // len(right))
     for at in range(0, len(left), step):
         block = left[at : at + step]
         grams = np.concatenate(block)
@@ -162,7 +164,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple
         low, high = np.searchsorted(columns, grams, "left"), np.searchsorted(columns, grams, "right")
         hits = high - low
         out = np.zeros(len(block) * len(right), np.int64)
-        cuts = np.searchsorted(np.cumsum(hits), np.arange(1 << 21, int(hits.sum()) + 1, 1 << 21))
+        cuts = np.searchsorted(np.cumsum(hits), np.arange(TILE_PRODUCT, int(hits.sum()) + 1, TILE_PRODUCT))
         for a, b in zip([0, *cuts], [*cuts, len(grams)]):
             many = hits[a:b]
             inner = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
@@ -238,7 +240,8 @@ def set_links(shared: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Dat
         F.col("cluster").alias("t1"), F.least("own", "other").alias("t2"), F.greatest("own", "other").alias("t3"),
         (F.col("own") > F.col("other")).cast("int").alias("side"), "v", "n", "grams")
     tiles = small.unionByName(large)
-    return tiles.groupBy("t1", "t2", "t3").applyInArrow(lambda part: tile_links(part, percent), "a long, b long")
+    return tiles.groupBy("t1", "t2", "t3").applyInArrow(
+        leaving_nothing(lambda part: tile_links(part, percent)), "a long, b long")
 
 
 def column_blocks(docs: DataFrame, text: str, least: int) -> int:
@@ -252,8 +255,8 @@ def _marked(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     spark = docs.sparkSession
     blocks = column_blocks(docs, text, int(spark.conf.get("spark.sql.shuffle.partitions")))
     given = docs.select(F.col(doc_id).cast("long"), F.col(text), F.xxhash64(text))
-    mapped = given.mapInArrow(_map_batches(blocks), MAPPED)
-    found = stored(mapped.groupBy("key").applyInArrow(_keep_shared, SHARED), "shared-columns")
+    mapped = given.mapInArrow(stream_leaving_nothing(_map_batches(blocks)), MAPPED)
+    found = stored(mapped.groupBy("key").applyInArrow(leaving_nothing(_keep_shared), SHARED), "shared-columns")
     rows = found.filter("gram is null").select("doc_id", "mark", "v", "n")
     sets = stored(rows.groupBy("v").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_id")), "sets")
     links = set_links(found.filter("gram is not null").select("v", "gram"), sets.select("v", "n"), percent)

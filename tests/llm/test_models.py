@@ -223,3 +223,31 @@ def test_the_driver_gives_back_what_the_training_freed(spark, monkeypatch):
     empty = spark.createDataFrame([], "doc_id long")
     assert queries_models.fit_toxicity(empty, empty) == "net" and steps == ["train", "release"]
     common.release_memory()
+
+
+def test_a_worker_gives_back_what_another_operator_left(monkeypatch):
+    steps, held = [], {("other",): "table"}
+    monkeypatch.setattr(common, "_HELD", held)
+    monkeypatch.setattr(common, "release_memory", lambda: steps.append(("release", dict(held))))
+    assert common.worker_state(("own",), lambda: steps.append("make") or "new") == "new"
+    assert steps == [("release", {}), "make"] and held == {("own",): "new"}
+    assert common.worker_state(("own",), lambda: steps.append("again")) == "new" and len(steps) == 2
+    assert common.leaving_nothing(lambda part: steps.append(part) or "out")("part") == "out"
+    assert steps[2:] == [("release", {}), "part", ("release", {})] and not held
+    held["own"] = "new"
+    del steps[:]
+    assert list(common.stream_leaving_nothing(lambda parts: (p + 1 for p in parts))([1, 2])) == [2, 3]
+    assert steps == [("release", {}), ("release", {})]
+
+
+def test_choosing_the_sample_needs_no_python_worker(spark, monkeypatch):
+    plans = []
+    kept = toxicity.stored
+    monkeypatch.setattr(toxicity, "stored", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or kept(df, name))
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(6)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, toxic int")
+    docs, labels = kept(docs, "docs"), kept(labels, "labels")
+    texts, found = training_texts(docs, labels)
+    assert texts == [f"text {i}" for i in range(6)] and found == [0, 1] * 3
+    assert len(plans) == 1 and "ExistingRDD" not in plans[0] and "LogicalRDD" not in plans[0]
+    assert training_texts(docs, labels, most=0) == ([], [])  # no text fits

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,3 +299,18 @@ def test_pipeline_stages(spark):
             assert set(after[0]) == set(before[0])
         else:
             assert ids == sorted(r["doc_id"] for r in before)
+
+
+def test_a_tile_holds_few_counts_at_once(monkeypatch):
+    rng = np.random.default_rng(1)
+    sets = [rng.integers(-1 << 62, 1 << 62, 100) for _ in range(500)]
+    sets = [np.unique(np.append(s[i // 500 :], i)) for i, s in enumerate(sets * 4)]
+    tile = pa.table({
+        "side": np.zeros(2000, np.int32), "v": np.arange(2000), "n": [len(s) for s in sets], "grams": pa.array(sets)})
+    tracemalloc.start()
+    found = ngram_join.tile_links(tile)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 64 << 20 and len(found) == 1500
+    monkeypatch.setattr(ngram_join, "TILE_PRODUCT", 1 << 21)
+    assert found.equals(ngram_join.tile_links(tile))
