@@ -311,6 +311,6 @@ def test_a_tile_holds_few_counts_at_once(monkeypatch):
     found = ngram_join.tile_links(tile)
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert most < 64 << 20 and len(found) == 1500
+    assert most < 32 << 20 and len(found) == 1500
     monkeypatch.setattr(ngram_join, "TILE_PRODUCT", 1 << 21)
     assert found.equals(ngram_join.tile_links(tile))
